@@ -1,0 +1,88 @@
+"""Joins that stay balanced when one key holds a large share of the rows.
+
+Aggregations need no help: Spark combines partial results before the shuffle,
+so a hot key costs one row per task. A row-preserving join does need help:
+all rows of a hot key would meet in one task. ``attach`` finds the hot keys
+with a sketch, joins them map-side against the few matching rows, and lets
+the rest go through Spark's ordinary join, so that no row is lost or moved
+needlessly.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key is hot when it holds more than one in HOT_SHARE rows and more than
+# HOT_ROWS rows. The sketch keeps SKETCH_ITEMS keys in each of SKETCH_BUCKETS
+# key buckets, so at most 4,096 keys can ever be called hot.
+HOT_SHARE = 1000
+HOT_ROWS = 1_000_000
+SKETCH_BUCKETS = 64
+SKETCH_ITEMS = 64
+
+# Inputs the optimizer sizes below this are a few tasks' work: no split.
+SMALL_BYTES = 256 * 1024 * 1024
+
+
+def planned_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate, or None where the session does not expose it."""
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
+        return None
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def hot_keys(
+    df: DataFrame, key: str, min_rows: int = HOT_ROWS, share: int = HOT_SHARE
+) -> DataFrame:
+    """Keys that hold more than ``1/share`` of the rows (and over ``min_rows``).
+
+    One pass over the key column. Heavy-hitter sketches are kept per key
+    bucket, so they merge on many reducers instead of one. The result has at
+    most SKETCH_BUCKETS * SKETCH_ITEMS rows whatever the size of ``df``.
+    """
+    sketch = F.expr(f"approx_top_k(`{key}`, {SKETCH_ITEMS}, {SKETCH_ITEMS * 2})")
+    per_bucket = (
+        df.select(key)
+        .filter(F.col(key).isNotNull())
+        .groupBy(F.pmod(F.xxhash64(key), F.lit(SKETCH_BUCKETS)).alias("_bucket"))
+        .agg(sketch.alias("_top"), F.count(F.lit(1)).alias("_n"))
+    )
+    merged = per_bucket.agg(
+        F.flatten(F.collect_list("_top")).alias("_top"), F.sum("_n").alias("_n")
+    )
+    item = F.col("_item")
+    return (
+        merged.select(F.explode("_top").alias("_item"), "_n")
+        .filter(item["count"] > F.greatest(F.lit(min_rows), F.col("_n") / share))
+        .select(item["item"].alias(key))
+    )
+
+
+def attach(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "left",
+    small_bytes: int = SMALL_BYTES,
+    min_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Join ``left`` to ``right`` on ``key``; ``right`` holds one row per key.
+
+    ``how`` is left, inner, left_semi or left_anti. For the last two ``right``
+    may repeat keys. Rows of ``left`` with a hot or missing key never shuffle:
+    they meet a broadcast of the matching right rows, at most one per hot key.
+    """
+    size = planned_bytes(left)
+    if size is not None and size < small_bytes:
+        return left.join(right, key, how)
+    if how in ("left_semi", "left_anti"):
+        right = right.select(key).distinct()
+    hot = hot_keys(left, key, min_rows)
+    flagged = left.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
+    is_split = F.col("_hot").isNotNull() | F.col(key).isNull()
+    rest = flagged.filter(~is_split).drop("_hot").join(right, key, how)
+    few = F.broadcast(right.join(F.broadcast(hot), key, "left_semi"))
+    split = flagged.filter(is_split).drop("_hot").join(few, key, how)
+    return rest.unionByName(split)
