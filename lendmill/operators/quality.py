@@ -140,42 +140,62 @@ for _f in (test_not_null, test_unique, test_accepted):
     _f.__test__ = False
 
 
-def _report(test: ColumnTest, failures: Column) -> list[Column]:
-    return [
+def _report(test: ColumnTest, failures: Column) -> Column:
+    return F.struct(
         F.lit(test.name).alias("test_name"),
         F.lit(test.table).alias("table_name"),
         F.lit(test.column).alias("column_name"),
         failures.cast("long").alias("failures"),
-    ]
+    )
+
+
+def _one_scan(df: DataFrame, by_row: list[ColumnTest], unique: ColumnTest | None) -> DataFrame:
+    """Failures of the row-wise tests and of one uniqueness test.
+
+    With a uniqueness test the rows are reduced per key first, which counts
+    the copies; the row-wise failures ride along as sums.
+    """
+    names = {t: f"t{i}" for i, t in enumerate(by_row)}
+    if unique is None:
+        counted = df.agg(*[K.hits(_row_rule(t)).alias(n) for t, n in names.items()])
+        found = [_report(t, F.col(n)) for t, n in names.items()]
+    else:
+        key = unique.column
+        per_key = df.groupBy(F.col(key).alias("_key")).agg(
+            F.count(F.lit(1)).alias("_copies"),
+            *[K.hits(_row_rule(t)).alias(n) for t, n in names.items()],
+        )
+        repeated = F.col("_key").isNotNull() & (F.col("_copies") > 1)
+        counted = per_key.agg(
+            F.count_if(repeated).alias("_repeated"),
+            *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names.values()],
+        )
+        found = [_report(t, F.col(n)) for t, n in names.items()]
+        found.append(_report(unique, F.col("_repeated")))
+    return counted.select(F.inline(F.array(*found)))
 
 
 def run_tests(tables: dict[str, DataFrame], tests: list[ColumnTest]) -> DataFrame:
     """One row per test: failures and pass or fail.
 
-    All row-wise tests of a table share one scan; uniqueness and relationship
-    tests each take one grouped count of their key.
+    All row-wise tests of a table and its first uniqueness test share one
+    scan; each relationship test takes one grouped count of its key.
     """
     results = []
     for table in dict.fromkeys(t.table for t in tests):
         mine = [t for t in tests if t.table == table]
         by_row = [t for t in mine if t.kind in ("not_null", "accepted_values")]
-        if by_row:
-            counted = tables[table].agg(
-                *[K.hits(_row_rule(t)).alias(f"t{i}") for i, t in enumerate(by_row)]
-            )
-            packed = F.array(
-                *[F.struct(*_report(t, F.col(f"t{i}"))) for i, t in enumerate(by_row)]
-            )
-            results.append(counted.select(F.inline(packed)))
+        uniques = [t for t in mine if t.kind == "unique"]
+        if by_row or uniques:
+            results.append(_one_scan(tables[table], by_row, uniques[0] if uniques else None))
+        results += [_one_scan(tables[table], [], t) for t in uniques[1:]]
         for t in mine:
-            if t.kind == "unique":
-                repeated = test_unique(tables[table], t.column)
-                results.append(repeated.agg(F.count(F.lit(1)).alias("n")).select(*_report(t, F.col("n"))))
-            elif t.kind == "relationships":
+            if t.kind == "relationships":
                 lost = count_orphans(
                     tables[table], t.column, tables[t.to_table], t.to_column, nulls_count=False
                 )
-                results.append(lost.select(*_report(t, F.col("n_orphans"))))
+                report = F.inline(F.array(_report(t, F.col("n_orphans"))))
+                results.append(lost.select(report))
     status = F.when(F.col("failures") == 0, "pass").otherwise("fail")
     return union_all(results).withColumn("status", status)
 

@@ -21,11 +21,32 @@ class SearchIndex:
 
 
 def build_index(docs: DataFrame, text: str, key: str, attributes: list[str] = ()) -> SearchIndex:
-    """Term index over the whole text of every document."""
+    """Term index over the whole text of every document; one row per document goes in.
+
+    Words are counted inside the document's row: sorting brings equal words
+    together, a word starts where its left neighbour differs and lasts to the
+    next start. So no word is shuffled to be counted.
+    """
     split = docs.select(key, *attributes, tokens(F.col(text)).alias("_tokens"))
     length = F.coalesce(F.size("_tokens"), F.lit(0)).alias("doc_len")
-    words = split.select(key, length, F.explode("_tokens").alias("term"))
-    postings = words.groupBy("term", key, "doc_len").agg(F.count(F.lit(1)).alias("tf"))
+    ordered = split.select(key, length, F.sort_array("_tokens").alias("_sorted"))
+    is_start = F.transform(
+        "_sorted", lambda w, i: F.when((i == 0) | (w != F.get("_sorted", i - 1)), i)
+    )
+    starts = ordered.withColumn("_starts", F.array_compact(is_start))
+    counted = F.transform(
+        "_starts",
+        lambda at, i: F.struct(
+            F.get("_sorted", at).alias("term"),
+            (F.coalesce(F.get("_starts", i + 1), F.col("doc_len")) - at).cast("long").alias("tf"),
+        ),
+    )
+    # The outer form keeps Spark from splitting each text twice to drop empty ones.
+    postings = (
+        starts.select(key, "doc_len", F.explode_outer(counted).alias("_word"))
+        .select("_word.term", key, "doc_len", "_word.tf")
+        .filter(F.col("term").isNotNull())
+    )
     return SearchIndex(postings, split.select(key, length, *attributes), key)
 
 
@@ -47,9 +68,10 @@ def read_index(spark: SparkSession, path: str, key: str) -> SearchIndex:
     )
 
 
-def query_terms(spark: SparkSession, query: str) -> DataFrame:
-    """Distinct terms of a query: never more rows than the query has words."""
-    return spark.range(1).select(F.explode(F.array_distinct(tokens(F.lit(query)))).alias("term"))
+def query_terms(spark: SparkSession, query: str) -> list[str]:
+    """Distinct terms of a query, split as the documents are."""
+    words = F.array_distinct(tokens(F.lit(query)))
+    return spark.range(1).select(words.alias("terms")).first()["terms"]
 
 
 def bm25(tf: Column, df: Column, doc_len: Column, n_docs: Column, mean_len: Column) -> Column:
@@ -61,11 +83,12 @@ def bm25(tf: Column, df: Column, doc_len: Column, n_docs: Column, mean_len: Colu
 def score_documents(index: SearchIndex, query: str) -> DataFrame:
     """Key and score of every document that holds a query term.
 
-    Postings are cut to the query's terms against a broadcast of those terms,
-    before anything is shuffled; corpus totals are scalar subqueries.
+    The query's terms are a literal list, so a stored index skips all row
+    groups without them. How many documents hold a term is one row per query
+    term; corpus totals are scalar subqueries.
     """
-    spark = index.postings.sparkSession
-    hits = index.postings.join(F.broadcast(query_terms(spark, query)), "term", "left_semi")
+    terms = query_terms(index.postings.sparkSession, query)
+    hits = index.postings.filter(F.col("term").isin(terms))
     in_docs = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n_docs = index.docs.agg(F.count(F.lit(1))).scalar()
     mean_len = index.docs.agg(F.avg("doc_len")).scalar()
@@ -87,7 +110,38 @@ def search(index: SearchIndex, query: str, columns: list[str], k: int) -> DataFr
     wanted = [c for c in columns if c != index.key]
     if wanted:
         top = index.docs.select(index.key, *wanted).join(F.broadcast(top), index.key)
-    return top.select(index.key, *wanted, "score").orderBy(F.desc("score"), index.key)
+    return top.select(index.key, *wanted, "score").orderBy(F.desc("score"), index.key).limit(k)
+
+
+def search_texts(
+    docs: DataFrame, text: str, key: str, query: str, columns: list[str], k: int
+) -> DataFrame:
+    """The same search without an index: two passes over the texts, nothing shuffled.
+
+    The first pass reduces the corpus to one row of totals, the second scores
+    every document within its row, and each task keeps its own k best.
+    """
+    terms = query_terms(docs.sparkSession, query)
+    wanted = [c for c in columns if c != key]
+    words = docs.select(key, *wanted, tokens(F.col(text)).alias("_tokens"))
+    matched = words.select(
+        key,
+        *wanted,
+        F.coalesce(F.size("_tokens"), F.lit(0)).alias("doc_len"),
+        F.filter("_tokens", lambda w: w.isin(terms)).alias("_hits"),
+    )
+    holds = [
+        F.count_if(F.array_contains("_hits", t)).alias(f"df{i}") for i, t in enumerate(terms)
+    ]
+    corpus = matched.agg(
+        F.struct(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("mean"), *holds)
+    ).scalar()
+    score = F.lit(0.0)
+    for i, t in enumerate(terms):
+        tf = F.size("_hits") - F.size(F.array_remove("_hits", t))
+        score = score + bm25(tf, corpus[f"df{i}"], F.col("doc_len"), corpus["n"], corpus["mean"])
+    scored = matched.select(key, *wanted, F.coalesce(F.round(score, 6), F.lit(0.0)).alias("score"))
+    return scored.orderBy(F.desc("score"), key).limit(k).filter("score > 0")
 
 
 def as_results(found: DataFrame, key: str) -> DataFrame:

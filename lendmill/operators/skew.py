@@ -26,11 +26,17 @@ SMALL_BYTES = 256 * 1024 * 1024
 
 
 def planned_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, or None where the session does not expose it."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
+    """Bytes the optimizer expects to scan for ``df``, after column pruning.
+
+    None where the session does not expose its plan; callers then take the
+    input for large. Scans are added up because a join's own estimate is the
+    product of its sides.
+    """
+    handle = getattr(df, "_jdf", None)
+    if handle is None:
         return None
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    scans = handle.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(scans.apply(i).stats().sizeInBytes())) for i in range(scans.size()))
 
 
 def hot_keys(

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendmill.fixed_values import ACCOUNT_TYPES, CUSTOMER_SEGMENTS, OPEN_PROVINCE
 from lendmill.operators import staging as S
@@ -36,8 +37,15 @@ STATUS_OF = {"O": "LANCAR", "P": "LUNAS", "F": "DPD90"}
 ACCOUNT_OF = {"BUILDING": ACCOUNT_TYPES[1], "MACHINERY": "GIRO"}
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its footer is read for the schema once per path, not per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _mapped(c: str, values: dict[str, str], otherwise) -> Column:

@@ -773,7 +773,10 @@ def _doc_index(spark, d):
 
 @query(_TOP_DOCS, extra=_BM25)
 def bm25_topk(spark, d):
-    return retrieval.search(_doc_index(spark, d), _SEARCH, ["lang", "source"], 10)
+    documents = D.table(spark, d, "documents")
+    return retrieval.search_texts(
+        documents, "text", "doc_id", _SEARCH, ["lang", "source"], 10
+    )
 
 
 @query("SELECT doc_id, score FROM scored", extra=_BM25)
@@ -784,7 +787,10 @@ def bm25_scores(spark, d):
 
 @query(_TOP_DOCS, extra=_BM25)
 def search_response(spark, d):
-    found = retrieval.search(_doc_index(spark, d), _SEARCH, ["lang", "source"], 10)
+    path = fresh_path(spark, "index")
+    retrieval.write_index(_doc_index(spark, d), path)
+    index = retrieval.read_index(spark, path, "doc_id")
+    found = retrieval.search(index, _SEARCH, ["lang", "source"], 10)
     schema = "doc_id bigint, lang string, source string, score double"
     return retrieval.parse_results(retrieval.results_json(found, "doc_id"), schema)
 
