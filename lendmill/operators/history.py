@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lendmill.operators.skew import HOT_ROWS, SMALL_BYTES, hot_keys, planned_bytes
+from lendmill.operators.skew import hot_keys, is_small
 
 VALID_FROM, VALID_TO, IS_CURRENT = "valid_from", "valid_to", "is_current"
 
@@ -105,7 +105,7 @@ def scd2_apply(
     return dim.filter(~F.col(IS_CURRENT)).select(*names).unionByName(after)
 
 
-def _with_slices(df: DataFrame, key: str, ts: str, min_rows: int) -> DataFrame:
+def _with_slices(df: DataFrame, key: str, ts: str) -> DataFrame:
     """Cut the history of hot keys into time slices 1..SLICES of about equal size.
 
     Ordinary keys are slice 0. Hot keys are at most a few thousand, so their
@@ -113,7 +113,7 @@ def _with_slices(df: DataFrame, key: str, ts: str, min_rows: int) -> DataFrame:
     """
     shares = ", ".join(str(i / SLICES) for i in range(1, SLICES))
     bounds = F.expr(f"percentile_approx(`{ts}`, array({shares}), 5000)")
-    hot = F.broadcast(hot_keys(df, key, min_rows))
+    hot = F.broadcast(hot_keys(df, key))
     cuts = (
         df.select(key, ts).join(hot, key, "left_semi").groupBy(key).agg(bounds.alias("_bounds"))
     )
@@ -123,13 +123,7 @@ def _with_slices(df: DataFrame, key: str, ts: str, min_rows: int) -> DataFrame:
 
 
 def scd2_from_history(
-    df: DataFrame,
-    key: str,
-    check_cols: list[str],
-    ts: str,
-    tiebreak: str | None = None,
-    small_bytes: int = SMALL_BYTES,
-    min_rows: int = HOT_ROWS,
+    df: DataFrame, key: str, check_cols: list[str], ts: str, tiebreak: str | None = None
 ) -> DataFrame:
     """The dimension rebuilt from every past row: key, checked columns, validity.
 
@@ -143,9 +137,8 @@ def scd2_from_history(
     rows = df.select(key, *check_cols, ts, *([tiebreak] if tiebreak else []))
     if tiebreak:
         rows = latest_per_key(rows, [key, ts], tiebreak)
-    size = planned_bytes(df)
-    sliced = size is None or size >= small_bytes
-    rows = _with_slices(rows, key, ts, min_rows) if sliced else rows.withColumn("_slice", F.lit(0))
+    sliced = not is_small(df)
+    rows = _with_slices(rows, key, ts) if sliced else rows.withColumn("_slice", F.lit(0))
     in_slice = W.partitionBy(key, "_slice").orderBy(ts)
     per_key = W.partitionBy(key).orderBy("_slice")
 

@@ -39,10 +39,14 @@ def planned_bytes(df: DataFrame) -> int | None:
     return sum(int(str(scans.apply(i).stats().sizeInBytes())) for i in range(scans.size()))
 
 
-def hot_keys(
-    df: DataFrame, key: str, min_rows: int = HOT_ROWS, share: int = HOT_SHARE
-) -> DataFrame:
-    """Keys that hold more than ``1/share`` of the rows (and over ``min_rows``).
+def is_small(df: DataFrame) -> bool:
+    """Whether the scans behind ``df`` are known to be a few tasks' work."""
+    size = planned_bytes(df)
+    return size is not None and size < SMALL_BYTES
+
+
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys that hold more than one in HOT_SHARE rows and more than HOT_ROWS rows.
 
     One pass over the key column. Heavy-hitter sketches are kept per key
     bucket, so they merge on many reducers instead of one. The result has at
@@ -61,31 +65,23 @@ def hot_keys(
     item = F.col("_item")
     return (
         merged.select(F.explode("_top").alias("_item"), "_n")
-        .filter(item["count"] > F.greatest(F.lit(min_rows), F.col("_n") / share))
+        .filter(item["count"] > F.greatest(F.lit(HOT_ROWS), F.col("_n") / HOT_SHARE))
         .select(item["item"].alias(key))
     )
 
 
-def attach(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str = "left",
-    small_bytes: int = SMALL_BYTES,
-    min_rows: int = HOT_ROWS,
-) -> DataFrame:
+def attach(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join ``left`` to ``right`` on ``key``; ``right`` holds one row per key.
 
     ``how`` is left, inner, left_semi or left_anti. For the last two ``right``
     may repeat keys. Rows of ``left`` with a hot or missing key never shuffle:
     they meet a broadcast of the matching right rows, at most one per hot key.
     """
-    size = planned_bytes(left)
-    if size is not None and size < small_bytes:
+    if is_small(left):
         return left.join(right, key, how)
     if how in ("left_semi", "left_anti"):
         right = right.select(key).distinct()
-    hot = hot_keys(left, key, min_rows)
+    hot = hot_keys(left, key)
     flagged = left.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
     is_split = F.col("_hot").isNotNull() | F.col(key).isNull()
     rest = flagged.filter(~is_split).drop("_hot").join(right, key, how)

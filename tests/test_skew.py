@@ -1,0 +1,101 @@
+"""Split joins and sliced histories give what the plain ones give."""
+
+import random
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from lendmill.operators import history, skew
+
+
+def _skewed(spark, n=600):
+    rng = random.Random(5)
+    data = []
+    for i in range(n):
+        kind = rng.random()
+        key = None if kind < 0.1 else 7 if kind < 0.5 else 8 if kind < 0.6 else rng.randrange(100, 400)
+        data.append((key, i))
+    return spark.createDataFrame(data, "k bigint, v bigint")
+
+
+def test_hot_keys_are_found_and_few(spark, split_everything):
+    found = {r[0] for r in skew.hot_keys(_skewed(spark), "k").collect()}
+    assert {7, 8} <= found
+    assert len(found) <= skew.SKETCH_BUCKETS * skew.SKETCH_ITEMS
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_split_join_equals_plain_join(spark, split_everything, how):
+    left = _skewed(spark)
+    right = spark.createDataFrame([(k, f"r{k}") for k in [7, *range(100, 300, 2)]], "k bigint, w string")
+    assert rows(skew.attach(left, right, "k", how)) == rows(left.join(right, "k", how))
+
+
+def test_split_join_keeps_repeated_semi_keys_single(spark, split_everything):
+    left = _skewed(spark)
+    right = spark.createDataFrame([(7,)] * 50 + [(100,)] * 3, "k bigint")
+    assert rows(skew.attach(left, right, "k", "left_semi")) == rows(left.join(right, "k", "left_semi"))
+
+
+def test_hot_rows_do_not_shuffle(spark, split_everything):
+    left, right = _skewed(spark), spark.range(1000).withColumnRenamed("id", "k")
+    plan = skew.attach(left, right, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_small_input_takes_the_plain_join(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).withColumnRenamed("id", "k").write.parquet(path)
+    left = spark.read.parquet(path)
+    plan = skew.attach(left, left, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "approx_top_k" not in plan and "Union" not in plan
+
+
+def _brute_history(data):
+    out, by_key = [], {}
+    for k, t, s in sorted(data, key=lambda r: (r[0], r[1])):
+        by_key.setdefault(k, []).append((t, s))
+    for k, seq in by_key.items():
+        kept = [x for i, x in enumerate(seq) if i == 0 or x[1] != seq[i - 1][1]]
+        for i, (t, s) in enumerate(kept):
+            until = kept[i + 1][0] if i + 1 < len(kept) else None
+            out.append((k, s, t, until, until is None))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("forced", [False, True])
+def test_history_of_a_hot_key(spark, request, forced):
+    if forced:
+        request.getfixturevalue("split_everything")
+    rng = random.Random(9)
+    data = [(1, t, rng.choice("ab")) for t in range(700)]
+    data += [(2, t, "x") for t in range(100)]
+    data += [(k, t, rng.choice(["a", None])) for k in range(10, 60) for t in range(rng.randrange(1, 6))]
+    df = spark.createDataFrame(data, "k int, t int, s string")
+    assert rows(history.scd2_from_history(df, "k", ["s"], "t")) == _brute_history(data)
+
+
+def test_history_takes_the_last_row_of_an_instant(spark):
+    df = spark.createDataFrame(
+        [(1, 1, "a", 1), (1, 2, "b", 2), (1, 2, "a", 3), (1, 3, "c", 4)], "k int, t int, s string, n int"
+    )
+    out = history.scd2_from_history(df, "k", ["s"], "t", "n")
+    assert rows(out) == [(1, "a", 1, 3, False), (1, "c", 3, None, True)]
+
+
+def test_latest_row_needs_no_window(spark):
+    df = _skewed(spark)
+    out = history.latest_per_key(df, "k", "v")
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+    best = {}
+    for k, v in (tuple(r) for r in df.collect()):
+        best[k] = max(best.get(k, -1), v)
+    assert rows(out) == sorted(best.items(), key=repr)
+
+
+def test_planned_bytes_adds_scans(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).select(F.col("id").alias("k")).write.parquet(path)
+    one = spark.read.parquet(path)
+    assert 0 < skew.planned_bytes(one) < skew.planned_bytes(one.join(one, "k")) < 1_000_000
