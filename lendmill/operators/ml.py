@@ -105,12 +105,17 @@ def summarize(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
+def _correlation(a: str, b: str) -> Column:
+    """Pearson correlation; NULL where a column is constant."""
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def leakage(df: DataFrame) -> DataFrame:
     """Per feature: correlation with the label, and the share of label 1 among
     rows where the feature is zero (0 or 1 there gives the label away)."""
     label = F.col(LABEL)
     wide = df.agg(
-        *[F.corr(c, LABEL).alias(f"{c}__corr") for c in FEATURES],
+        *[_correlation(c, LABEL).alias(f"{c}__corr") for c in FEATURES],
         *[F.count_if(F.col(c) == 0).alias(f"{c}__zeros") for c in FEATURES],
         *[F.avg(F.when(F.col(c) == 0, label)).alias(f"{c}__rate") for c in FEATURES],
     )

@@ -867,7 +867,7 @@ def ml_target_balance(spark, d):
 
 @query(
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS feature, round(corr({c}, {V.LABEL}), 6) AS label_corr,
+        f"""SELECT '{c}' AS feature, CASE WHEN stddev_pop({c}) * stddev_pop({V.LABEL}) > 0 THEN round(corr({c}, {V.LABEL}), 6) END AS label_corr,
                    count(*) FILTER (WHERE {c} = 0) AS n_zero,
                    round(avg({V.LABEL}) FILTER (WHERE {c} = 0), 6) AS label_rate_at_zero FROM feature_rows"""
         for c in V.FEATURES

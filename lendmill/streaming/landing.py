@@ -48,9 +48,13 @@ def ingest_bronze(
     out: str,
     tables: dict[str, tuple[str, T.StructType]] | None = None,
 ) -> None:
-    """Load all raw tables; the loads run side by side and the call waits for all."""
+    """Load all raw tables; the loads run side by side and the call waits for all.
+
+    A landed name is a file, a folder of files, or a prefix of both: deliveries
+    such as ``loans.csv`` and ``loans.csv.2026-06-02`` are told apart by name.
+    """
     queries = [
-        start_load(spark, f"{landing}/{file}", schema, f"{out}/{name}", f"{out}/_state/{name}")
+        start_load(spark, f"{landing}/{file}*", schema, f"{out}/{name}", f"{out}/_state/{name}")
         for name, (file, schema) in (tables or RAW_TABLES).items()
     ]
     for query in queries:
