@@ -69,15 +69,15 @@ def detect_changes(
     return joined.select("old", "new", state.alias("change"))
 
 
-def scd2_apply(
+def scd2_step(
     dim: DataFrame | None, source: DataFrame, key: str, check_cols: list[str], at
 ) -> DataFrame:
-    """The dimension after one snapshot of ``source`` (one row per key) at ``at``.
+    """What one snapshot makes of the open versions: kept, closed and opened ones.
 
     A version closes and the next opens only when a checked column differs,
     NULL-safe; other columns keep the value they had when the version opened.
-    Keys gone from the source stay open. One full join on the key emits one
-    or two versions per key; closed history passes through untouched.
+    Keys gone from the source stay open. ``source`` has one row per key. One
+    full join on the key emits one or two versions per key.
     """
     if dim is None:
         return first_snapshot(source, at)
@@ -101,8 +101,17 @@ def scd2_apply(
     )
     opened = version("new", now, F.lit(None), F.lit(True))
     versions = F.array_compact(F.array(F.when(~is_new, kept), F.when(changed | is_new, opened)))
-    after = changes.select(F.inline(versions))
-    return dim.filter(~F.col(IS_CURRENT)).select(*names).unionByName(after)
+    return changes.select(F.inline(versions))
+
+
+def scd2_apply(
+    dim: DataFrame | None, source: DataFrame, key: str, check_cols: list[str], at
+) -> DataFrame:
+    """The whole dimension after one snapshot; closed history passes through untouched."""
+    after = scd2_step(dim, source, key, check_cols, at)
+    if dim is None:
+        return after
+    return dim.filter(~F.col(IS_CURRENT)).select(*after.columns).unionByName(after)
 
 
 def _with_slices(df: DataFrame, key: str, ts: str) -> DataFrame:

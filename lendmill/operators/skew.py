@@ -70,18 +70,21 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def attach(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
+def attach(
+    left: DataFrame, right: DataFrame, key: str, how: str = "left", hot: DataFrame | None = None
+) -> DataFrame:
     """Join ``left`` to ``right`` on ``key``; ``right`` holds one row per key.
 
     ``how`` is left, inner, left_semi or left_anti. For the last two ``right``
     may repeat keys. Rows of ``left`` with a hot or missing key never shuffle:
     they meet a broadcast of the matching right rows, at most one per hot key.
+    ``hot`` gives the hot keys of ``left`` where they are already known.
     """
-    if is_small(left):
+    if hot is None and is_small(left):
         return left.join(right, key, how)
     if how in ("left_semi", "left_anti"):
         right = right.select(key).distinct()
-    hot = hot_keys(left, key)
+    hot = hot_keys(left, key) if hot is None else hot
     flagged = left.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
     is_split = F.col("_hot").isNotNull() | F.col(key).isNull()
     rest = flagged.filter(~is_split).drop("_hot").join(right, key, how)

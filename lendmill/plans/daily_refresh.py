@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from lendmill.operators import quality as Q
 from lendmill.operators import staging as S
-from lendmill.operators.history import latest_per_key, scd2_apply
+from lendmill.operators.history import latest_per_key, scd2_step
 from lendmill.operators.relations import union_all
 from lendmill.plans.marts import mart_customer_360, mart_loan_performance
 from lendmill.schemas import RAW_TABLES
 from lendmill.sources.bronze import read_bronze
-from lendmill.sources.warehouse import publish, read_published, target_path, write_table
+from lendmill.sources.warehouse import (
+    publish_versions,
+    read_versions,
+    register_view,
+    target_path,
+    write_table,
+)
 from lendmill.streaming.landing import ingest_bronze
 
 HISTORY_KEY = "customer_id"
@@ -44,17 +50,24 @@ def snapshot_customers(raw_customers: DataFrame, root: str, at) -> DataFrame:
     """Bring the customer history up to date; one row per customer goes in."""
     rows = raw_customers.filter(F.col(HISTORY_KEY).isNotNull())
     source = latest_per_key(rows, HISTORY_KEY, "updated_at", "_loaded_at").select(*HISTORY_COLUMNS)
+    spark = raw_customers.sparkSession
     path = target_path(root, "dim_customers_scd2", "silver")
-    known = read_published(raw_customers.sparkSession, path)
-    return publish(scd2_apply(known, source, HISTORY_KEY, HISTORY_CHECKED, at), path)
+    known = read_versions(spark, path, closed=False)
+    publish_versions(scd2_step(known, source, HISTORY_KEY, HISTORY_CHECKED, at), path)
+    return read_versions(spark, path)
 
 
 def daily_refresh(spark: SparkSession, landing: str, root: str, as_of) -> DataFrame:
-    """Run every step in order and report step, object, rows and status."""
+    """Run every step in order and report step, object, rows and status.
+
+    Staged tables stay views; marts, test results and the verdict are written.
+    """
     ingest_bronze(spark, landing, f"{root}/bronze")
     raw = {name: read_bronze(spark, target_path(root, name, "bronze")) for name in RAW_TABLES}
     history = snapshot_customers(raw["raw_customers"], root, as_of)
     staged = staged_tables(raw, as_of)
+    for name, df in staged.items():
+        register_view(df, name)
     gold = {
         "mart_loan_performance": mart_loan_performance(
             staged["stg_loans"], staged["stg_repayments"]
@@ -75,7 +88,10 @@ def daily_refresh(spark: SparkSession, landing: str, root: str, as_of) -> DataFr
     def counted(step: str, tables: dict[str, DataFrame]) -> list[DataFrame]:
         return [
             df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-                F.lit(step).alias("step"), F.lit(name).alias("object"), "n_rows", F.lit("done").alias("status")
+                F.lit(step).alias("step"),
+                F.lit(name).alias("object"),
+                "n_rows",
+                F.lit("done").alias("status"),
             )
             for name, df in tables.items()
         ]

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from lendmill import fixed_values as V
 from lendmill import schemas
 from lendmill.functions import masking as M
+from lendmill.functions.sql_names import register_functions
 from lendmill.operators import facts, history, ml, retrieval, semantic
 from lendmill.operators import governance as G
 from lendmill.operators import quality as Q
@@ -26,6 +27,7 @@ from lendmill.plans.daily_refresh import daily_refresh
 from lendmill.plans.oracle_views import with_views
 from lendmill.session import fresh_path
 from lendmill.sources import bronze, files
+from lendmill.sources.warehouse import register_view
 from lendmill.streaming.indexing import start_indexing
 from lendmill.streaming.landing import start_load
 from lendmill.streaming.monitor import read_metrics, start_metrics
@@ -627,6 +629,45 @@ def projection_lenient(spark, d):
     return G.governed_select(D.customers(spark, d), wanted, M.ANALYST, lenient=True)
 
 
+@query(
+    """SELECT customer_id, age, repeat('X', greatest(length(nik) - 4, 0)) || right(nik, 4) AS nik,
+              regexp_replace(email, '^[^@]+', '****') AS email, left(phone, 4) || 'XXXXXX' AS phone,
+              monthly_income FROM stg_customers""",
+    DOUBLE="monthly_income",
+    BIGINT="age",
+)
+def masked_by_sql(spark, d):
+    """The same masks as SQL functions over a view, with the role in the query."""
+    register_functions(spark)
+    register_view(D.raw_customers(spark, d), "raw_customers")
+    return spark.sql(
+        f"""SELECT customer_id, years_between(birth_date, DATE '{D.AS_OF}') AS age,
+                   mask_nik(nik, 'engineer') AS nik, mask_email(lower(email), 'engineer') AS email,
+                   mask_phone(phone, 'engineer') AS phone,
+                   mask_income(monthly_income, 'engineer') AS monthly_income
+            FROM raw_customers WHERE may_see_row(province, 'engineer')"""
+    )
+
+
+@query(
+    """SELECT product_segment, dpd_bucket, count(*) AS n_loans,
+              round(CAST(100 * sum(is_default) AS DOUBLE) / count(*), 2) AS npl_rate_pct
+       FROM stg_loans GROUP BY product_segment, dpd_bucket"""
+)
+def loans_by_sql(spark, d):
+    """Portfolio SQL as an analyst would type it, over the raw loans."""
+    register_functions(spark)
+    register_view(D.raw_loans(spark, d), "raw_loans")
+    return spark.sql(
+        """SELECT product_segment, dpd_bucket, count(*) AS n_loans,
+                  round(100 * sum(is_default) / count(*), 2) AS npl_rate_pct
+           FROM (SELECT product_segment(product_type) AS product_segment,
+                        dpd_bucket(dpd) AS dpd_bucket, is_default
+                 FROM raw_loans)
+           GROUP BY product_segment, dpd_bucket ORDER BY npl_rate_pct DESC"""
+    )
+
+
 def _tags_sql() -> str:
     columns = [f.name for f in schemas.RAW_CUSTOMERS] + ["age", "_loaded_at"]
     rows = [(c, "pii_type", v) for c, v in G.CUSTOMER_TAGS.items()]

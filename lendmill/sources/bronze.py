@@ -32,7 +32,11 @@ def convert_token(c: Column, to: T.DataType) -> Column:
     c = F.trim(c)
     if isinstance(to, (T.LongType, T.DecimalType)):
         digits = to.scale if isinstance(to, T.DecimalType) else 0
-        return F.round(c.try_cast("decimal(38,10)"), digits).try_cast(to)
+        rounded = F.round(c.try_cast("decimal(38,10)"), digits).try_cast(to)
+        if digits:
+            return rounded
+        # Plain digits, the usual case, convert without going through a decimal.
+        return F.coalesce(c.try_cast("bigint").try_cast(to), rounded)
     return c.try_cast(to)
 
 

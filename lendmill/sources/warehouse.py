@@ -24,38 +24,47 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _runs(spark: SparkSession, path: str) -> DataFrame | None:
+def current_run(spark: SparkSession, path: str) -> int:
+    """Number of the last published run; 0 before the first."""
     try:
-        return spark.read.schema("run bigint").parquet(f"{path}/published_runs")
+        runs = spark.read.schema("run bigint").parquet(f"{path}/published")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
-
-
-def current_run(spark: SparkSession, path: str) -> int:
-    """Number of the last published run; 0 before the first."""
-    runs = _runs(spark, path)
-    return 0 if runs is None else (runs.agg(F.max("run")).first()[0] or 0)
-
-
-def read_published(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table as last published, or None before the first run."""
-    run = current_run(spark, path)
-    return spark.read.parquet(f"{path}/run_{run}") if run else None
+        return 0
+    return runs.agg(F.max("run")).first()[0] or 0
 
 
-def publish(df: DataFrame, path: str) -> DataFrame:
-    """Write the next run of a table whose new state is computed from its old one.
+def publish_versions(versions: DataFrame, path: str, flag: str = "is_current") -> int:
+    """Store what a snapshot made of the open versions, as the next run.
 
-    The run gets a folder of its own and counts only once it is complete and
-    its number is recorded; a job that dies before leaves the old state in
-    force, and the next try overwrites the half-written folder.
+    Open and closed versions go to different folders of the run, so a closed
+    version is written once and never copied again. A run counts only once
+    its number is recorded: a job that dies before leaves the old state in
+    force, and the next try overwrites the half-written run.
     """
-    spark = df.sparkSession
+    spark = versions.sparkSession
     run = current_run(spark, path) + 1
-    df.write.mode("overwrite").parquet(f"{path}/run_{run}")
+    versions.write.mode("overwrite").partitionBy(flag).parquet(f"{path}/versions/run={run}")
     spark.range(run, run + 1).select(F.col("id").alias("run")).write.mode("append").parquet(
-        f"{path}/published_runs"
+        f"{path}/published"
     )
-    return spark.read.parquet(f"{path}/run_{run}")
+    return run
+
+
+def read_versions(
+    spark: SparkSession, path: str, flag: str = "is_current", closed: bool = True
+) -> DataFrame | None:
+    """The open versions of the last run and, with ``closed``, those closed by any run.
+
+    None before the first run. Other folders are pruned by their names.
+    """
+    run = current_run(spark, path)
+    if not run:
+        return None
+    stored = spark.read.parquet(f"{path}/versions")
+    is_open = F.col(flag).cast("boolean")
+    wanted = is_open & (F.col("run") == run)
+    if closed:
+        wanted = wanted | (~is_open & (F.col("run") <= run))
+    return stored.filter(wanted).withColumn(flag, is_open).drop("run")

@@ -72,17 +72,27 @@ def test_latest_row_prefers_a_known_time(spark):
     assert rows(H.latest_per_key(df, "id", "ts")) == [(1, "b", 3), (2, "c", None)]
 
 
-def test_published_runs(spark, tmp_path):
-    path = WH.target_path(str(tmp_path), "dim", " silver ")
-    assert path == f"{tmp_path}/silver/dim"
-    assert WH.target_path("/r/", "t") == "/r/silver/t"
-    assert WH.read_published(spark, path) is None
-    WH.publish(spark.range(3), path)
-    # Half a run that never got recorded does not count.
-    spark.range(99).write.parquet(f"{path}/run_2")
-    assert WH.read_published(spark, path).count() == 3
-    grown = WH.read_published(spark, path).union(spark.range(2))
-    assert WH.publish(grown, path).count() == 5
-    assert WH.current_run(spark, path) == 2
-    WH.register_view(WH.read_published(spark, path), "dim_now")
-    assert spark.sql("SELECT count(*) FROM dim_now").first()[0] == 5
+def test_layers():
+    assert WH.target_path("/r/", "dim", " gold ") == "/r/gold/dim"
+    assert WH.target_path("/r", "t") == "/r/silver/t"
+
+
+def test_stored_versions(spark, tmp_path):
+    path, check = str(tmp_path / "dim"), ["city"]
+
+    def step(data, at):
+        known = WH.read_versions(spark, path, closed=False)
+        return H.scd2_step(known, people(spark, data), "id", check, at)
+
+    assert WH.read_versions(spark, path) is None
+    assert WH.publish_versions(step([(1, "a", "x", 1), (2, "b", "x", 1)], T1), path) == 1
+    # Half a run that never got recorded does not count, and is overwritten.
+    step([(1, "a", "LOST", 1)], T2).write.partitionBy("is_current").parquet(f"{path}/versions/run=2")
+    assert WH.read_versions(spark, path).count() == 2
+    assert WH.publish_versions(step([(1, "a", "y", 1)], T2), path) == 2
+    assert WH.publish_versions(step([(1, "a", "z", 1)], T3), path) == 3
+    got = WH.read_versions(spark, path).select("id", "city", "valid_from", "valid_to", "is_current")
+    expected = [(1, "x", T1, T2, False), (1, "y", T2, T3, False), (1, "z", T3, None, True), (2, "x", T1, None, True)]
+    assert rows(got) == sorted(expected, key=repr)
+    WH.register_view(got, "dim_now")
+    assert spark.sql("SELECT count(*) FROM dim_now WHERE is_current").first()[0] == 2

@@ -143,5 +143,5 @@ def test_a_day_and_its_rerun(spark, tmp_path):
     assert first[("test", "test_results")] == (23, "pass")
     assert first[("gate", "dq_verdict")] == (0, "pass")
     assert run("2026-01-02") == first
-    history = WH.read_published(spark, f"{root}/silver/dim_customers_scd2")
+    history = WH.read_versions(spark, f"{root}/silver/dim_customers_scd2")
     assert history.count() == 5 and history.filter("is_current").count() == 5
