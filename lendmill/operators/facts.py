@@ -56,7 +56,7 @@ def txn_by_customer(transactions: DataFrame, savings: DataFrame) -> DataFrame:
     join, so the join moves one row per account instead of every transaction."""
     accounts = savings.select("account_id", "customer_id")
     return (
-        attach(accounts, txn_by_account(transactions), "account_id", "inner")
+        attach(accounts, txn_by_account(transactions), "account_id", "inner", one_per_key=True)
         .groupBy("customer_id")
         .agg(F.sum("n_txn").alias("n_txn"), F.sum("amount").alias("total_txn_amount"))
     )
@@ -72,7 +72,8 @@ def customer_facts(loans: DataFrame, savings: DataFrame, transactions: DataFrame
         "customer_id", F.lit(1).alias("n_loans"), "plafond", "outstanding", "is_default"
     )
     accounts = savings.select("account_id", "customer_id", "balance")
-    account_rows = attach(accounts, txn_by_account(transactions), "account_id", "left").select(
+    per_account = txn_by_account(transactions)
+    account_rows = attach(accounts, per_account, "account_id", one_per_key=True).select(
         "customer_id", F.lit(1).alias("n_accounts"), "balance", "n_txn", "amount"
     )
     return (

@@ -10,7 +10,7 @@ from lendmill.operators.skew import hot_keys, is_small
 
 VALID_FROM, VALID_TO, IS_CURRENT = "valid_from", "valid_to", "is_current"
 
-# Time slices a hot key's history is cut into.
+# Time slices a hot key's history is cut into; a power of two.
 SLICES = 256
 
 
@@ -126,9 +126,17 @@ def _with_slices(df: DataFrame, key: str, ts: str) -> DataFrame:
     cuts = (
         df.select(key, ts).join(hot, key, "left_semi").groupBy(key).agg(bounds.alias("_bounds"))
     )
-    below = F.size(F.filter("_bounds", lambda b: b < F.col(ts)))
-    place = F.when(F.col("_bounds").isNull(), 0).otherwise(below + 1)
-    return df.join(F.broadcast(cuts), key, "left").withColumn("_slice", place).drop("_bounds")
+    # Binary search among the bounds: log2(SLICES) comparisons per row of a hot
+    # key, none for an ordinary one.
+    steps = F.array(*[F.lit(SLICES >> i) for i in range(1, SLICES.bit_length())])
+    place = F.aggregate(
+        steps,
+        F.lit(1),
+        lambda at, step: at
+        + F.when(F.get("_bounds", at + step - 2) < F.col(ts), step).otherwise(0),
+    )
+    sliced = F.when(F.col("_bounds").isNull(), 0).otherwise(place)
+    return df.join(F.broadcast(cuts), key, "left").withColumn("_slice", sliced).drop("_bounds")
 
 
 def scd2_from_history(

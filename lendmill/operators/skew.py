@@ -71,23 +71,32 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def attach(
-    left: DataFrame, right: DataFrame, key: str, how: str = "left", hot: DataFrame | None = None
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "left",
+    hot: DataFrame | None = None,
+    one_per_key: bool = False,
 ) -> DataFrame:
-    """Join ``left`` to ``right`` on ``key``; ``right`` holds one row per key.
-
-    ``how`` is left, inner, left_semi or left_anti. For the last two ``right``
-    may repeat keys. Rows of ``left`` with a hot or missing key never shuffle:
-    they meet a broadcast of the matching right rows, at most one per hot key.
+    """Join ``left`` to ``right`` on ``key``: left, inner, left_semi or left_anti.
+
+    With ``one_per_key`` the caller vouches that ``right`` is grouped by the
+    key; semi and anti joins group it here. Then rows of ``left`` with a hot
+    or missing key never shuffle: they meet a broadcast of the matching right
+    rows, at most one per hot key. Otherwise nothing bounds those rows, and
+    Spark chooses by their size: a broadcast, or a sorted join whose skewed
+    partitions, now free of any aggregate in between, it splits by itself.
     ``hot`` gives the hot keys of ``left`` where they are already known.
     """
     if hot is None and is_small(left):
         return left.join(right, key, how)
     if how in ("left_semi", "left_anti"):
-        right = right.select(key).distinct()
+        right, one_per_key = right.select(key).distinct(), True
     hot = hot_keys(left, key) if hot is None else hot
     flagged = left.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
     is_split = F.col("_hot").isNotNull() | F.col(key).isNull()
     rest = flagged.filter(~is_split).drop("_hot").join(right, key, how)
-    few = F.broadcast(right.join(F.broadcast(hot), key, "left_semi"))
+    few = right.join(F.broadcast(hot), key, "left_semi")
+    few = F.broadcast(few) if one_per_key else few
     split = flagged.filter(is_split).drop("_hot").join(few, key, how)
     return rest.unionByName(split)

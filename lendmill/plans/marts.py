@@ -27,7 +27,7 @@ def mart_loan_performance(loans: DataFrame, repayments: DataFrame) -> DataFrame:
         "interest_rate",
         "disbursed_at",
     )
-    joined = attach(slim, repay_by_loan(repayments), "loan_id", "left")
+    joined = attach(slim, repay_by_loan(repayments), "loan_id", one_per_key=True)
     ratio = safe_ratio(F.col("total_paid"), F.col("total_due"))
     return zero_filled(
         joined.withColumn("collection_ratio", ratio),
@@ -51,6 +51,6 @@ def mart_customer_360(
     )
     facts = customer_facts(loans, savings, transactions)
     return zero_filled(
-        attach(slim, facts, "customer_id", "left"),
+        attach(slim, facts, "customer_id", one_per_key=True),
         [c for c in facts.columns if c != "customer_id"],
     )

@@ -26,9 +26,18 @@ def test_hot_keys_are_found_and_few(spark, split_everything):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_split_join_equals_plain_join(spark, split_everything, how):
+@pytest.mark.parametrize("one_per_key", [True, False])
+def test_split_join_equals_plain_join(spark, split_everything, how, one_per_key):
     left = _skewed(spark)
     right = spark.createDataFrame([(k, f"r{k}") for k in [7, *range(100, 300, 2)]], "k bigint, w string")
+    got = skew.attach(left, right, "k", how, one_per_key=one_per_key)
+    assert rows(got) == rows(left.join(right, "k", how))
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_split_join_with_repeated_right_keys(spark, split_everything, how):
+    left = _skewed(spark)
+    right = spark.createDataFrame([(7, i) for i in range(40)] + [(100, 1)], "k bigint, w int")
     assert rows(skew.attach(left, right, "k", how)) == rows(left.join(right, "k", how))
 
 
@@ -40,8 +49,11 @@ def test_split_join_keeps_repeated_semi_keys_single(spark, split_everything):
 
 def test_hot_rows_do_not_shuffle(spark, split_everything):
     left, right = _skewed(spark), spark.range(1000).withColumnRenamed("id", "k")
-    plan = skew.attach(left, right, "k")._jdf.queryExecution().executedPlan().toString()
+    joined = skew.attach(left, right, "k", one_per_key=True)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    hot_side = plan.split("Union")[1].split("SortMergeJoin")[-1]
+    assert "BroadcastHashJoin" in hot_side
 
 
 def test_small_input_takes_the_plain_join(spark, tmp_path):
