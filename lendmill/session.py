@@ -29,20 +29,25 @@ def local_session(app: str, cores: str = "8", **conf: str) -> SparkSession:
     return spark
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
     A machine-local folder is used only when the master itself is local and
     no folder is named; on a cluster a missing setting is an error.
     """
+    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="lendmill-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+        if context.applicationId not in _OWN_DIRS:
+            _OWN_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="lendmill-")
+        named = _OWN_DIRS[context.applicationId]
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
     return named.rstrip("/")
 
 
