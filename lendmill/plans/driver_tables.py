@@ -28,10 +28,10 @@ SEGMENT_OF = {
     "HOUSEHOLD": CUSTOMER_SEGMENTS[2],
 }
 PRODUCT_OF = {
-    "1-URGENT": f"{CUSTOMER_SEGMENTS[0]} KTA",
-    "2-HIGH": f"{CUSTOMER_SEGMENTS[0].lower()} Mikro",
-    "3-MEDIUM": f"{CUSTOMER_SEGMENTS[2]} Modal Usaha",
-    "4-NOT SPECIFIED": f"{CUSTOMER_SEGMENTS[2].lower()} Invoice Financing",
+    "1-URGENT": f"{CUSTOMER_SEGMENTS[0]} A",
+    "2-HIGH": f"{CUSTOMER_SEGMENTS[0].lower()} B",
+    "3-MEDIUM": f"{CUSTOMER_SEGMENTS[2]} C",
+    "4-NOT SPECIFIED": f"{CUSTOMER_SEGMENTS[2].lower()} D",
 }
 STATUS_OF = {"O": "LANCAR", "P": "LUNAS", "F": "DPD90"}
 ACCOUNT_OF = {"BUILDING": ACCOUNT_TYPES[1], "MACHINERY": "GIRO"}

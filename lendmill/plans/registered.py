@@ -270,14 +270,12 @@ def _some_customers(spark, d):
 
 
 _GATE = """SELECT *, bad_nik + bad_credit_score + duplicate_customer_id + null_segment + orphan_loans AS total_issues
-           FROM (SELECT
-             (SELECT count(*) FROM {c} WHERE length(nik) <> 16 OR NOT regexp_full_match(nik, '[0-9]+')) AS bad_nik,
-             (SELECT count(*) FROM {c} WHERE credit_score < 300 OR credit_score > 850) AS bad_credit_score,
-             (SELECT count(*) FROM (SELECT customer_id FROM {c} GROUP BY customer_id HAVING count(*) > 1))
-               AS duplicate_customer_id,
-             (SELECT count(*) FROM {c} WHERE segment IS NULL OR segment = '') AS null_segment,
-             (SELECT count(*) FROM stg_loans l LEFT JOIN {c} c ON l.customer_id = c.customer_id
-               WHERE c.customer_id IS NULL) AS orphan_loans)"""
+           FROM (SELECT count(*) FILTER (WHERE NOT regexp_full_match(nik, '[0-9]{{16}}')) AS bad_nik,
+                        count(*) FILTER (WHERE credit_score NOT BETWEEN 300 AND 850) AS bad_credit_score,
+                        count(*) FILTER (WHERE ifnull(segment, '') = '') AS null_segment FROM {c})
+           CROSS JOIN (SELECT count(*) AS duplicate_customer_id FROM (
+                         SELECT customer_id FROM {c} GROUP BY ALL HAVING count(*) > 1))
+           CROSS JOIN (SELECT count(*) AS orphan_loans FROM stg_loans ANTI JOIN {c} USING (customer_id))"""
 _VERDICT = """SELECT *, CASE WHEN total_issues = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
                      CASE WHEN total_issues > 0 THEN 1 END AS raised FROM ({gate})"""
 

@@ -6,6 +6,7 @@ import json
 import pytest
 from conftest import rows
 
+from lendmill import fixed_values as V
 from lendmill.operators import quality as Q
 
 
@@ -19,7 +20,7 @@ def faulty(spark):
         score = (-5, 0, 1200, 9999)[i % 4] if 10 <= i < 20 else 600
         email = None if 20 <= i < 30 else "a@b.co"
         province = None if i >= 30 else "Bali"
-        segment = ("Tunaiku", "Senyumku", "SMB")[i % 3]
+        segment = V.CUSTOMER_SEGMENTS[i % 3]
         data.append((key, nik, segment, score, email, province))
     return spark.createDataFrame(
         data,
@@ -90,7 +91,7 @@ def test_column_tests(spark, faulty):
         Q.ColumnTest("c", "not_null", "email"),
         Q.ColumnTest("c", "unique", "customer_id"),
         Q.ColumnTest("c", "unique", "email"),
-        Q.ColumnTest("c", "accepted_values", "segment", values=("Tunaiku", "SMB")),
+        Q.ColumnTest("c", "accepted_values", "segment", values=V.CUSTOMER_SEGMENTS[::2]),
         Q.ColumnTest("l", "relationships", "customer_id", to_table="c", to_column="customer_id"),
         Q.ColumnTest("l", "not_null", "loan_id"),
     ]
@@ -106,7 +107,7 @@ def test_column_tests(spark, faulty):
     }
     assert Q.test_not_null(faulty, "email").count() == 10
     assert Q.test_unique(faulty, "customer_id").count() == 1
-    assert Q.test_accepted(faulty, "segment", ("Tunaiku", "SMB")).count() == 13
+    assert Q.test_accepted(faulty, "segment", V.CUSTOMER_SEGMENTS[::2]).count() == 13
 
 
 def test_suite_has_the_declared_expectations():

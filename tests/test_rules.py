@@ -6,6 +6,7 @@ from decimal import Decimal
 from conftest import rows
 from pyspark.sql import functions as F
 
+from lendmill import fixed_values as V
 from lendmill import schemas
 from lendmill.functions import checks, cleaning, lending
 from lendmill.operators import facts, relations, staging
@@ -18,9 +19,10 @@ def values(spark, kind, data, *columns):
 
 
 def test_product_segment(spark):
-    data = ["Tunaiku KTA", "tunaiku mikro", "SMB Modal", "smb", "KPR", "", None, "My SMB"]
+    (one, first), (two, second) = V.PRODUCT_PREFIXES
+    data = [f"{one} a", f"{one.lower()} b", f"{two} c", two.lower(), "house", "", None, f"My {two}"]
     got = values(spark, "string", data, lending.product_segment(F.col("x")))
-    assert got == ["Tunaiku", "Tunaiku", "SMB", "SMB", "Other", "Other", "Other", "Other"]
+    assert got == [first, first, second, second, "Other", "Other", "Other", "Other"]
 
 
 def test_dpd_bucket_keeps_its_quirks(spark):
@@ -97,7 +99,7 @@ def _loans(spark, data):
 def test_loan_mart(spark):
     loans = _loans(
         spark,
-        [("L1", "C1", "Tunaiku KTA", 0, 0, 50), ("L2", "C1", "SMB x", None, 1, 70), (None, "C1", "x", 0, 0, 1)],
+        [("L1", "C1", "house", 0, 0, 50), ("L2", "C1", "SMB x", None, 1, 70), (None, "C1", "x", 0, 0, 1)],
     )
     d = dt.date
     repay = staging.stg_repayments(

@@ -16,7 +16,7 @@ def marts(spark):
         "loan_id string, customer_id string, product_segment string, dpd_bucket string, status string, is_default int, outstanding int",
     )
     customers = spark.createDataFrame(
-        [("C1", "Bali", "SMB", "Badung", 100), ("C2", "Bali", "Tunaiku", "Denpasar", 50), ("C3", None, "SMB", None, 7)],
+        [("C1", "Bali", "SMB", "Badung", 100), ("C2", "Bali", "Retail", "Denpasar", 50), ("C3", None, "SMB", None, 7)],
         "customer_id string, province string, segment string, city string, total_savings_balance int",
     )
     return {"loans": loans, "customers": customers}
@@ -37,7 +37,7 @@ def test_each_metric_keeps_its_grain(marts):
 def test_totals_and_filters(marts):
     assert ask(marts, ["total_loans", "total_customers"], []) == [(4, 3)]
     assert ask(marts, ["total_outstanding"], ["produk"], {"segmen nasabah": "SMB"}) == [("SMB", 30)]
-    assert ask(marts, ["total_customers"], ["segment"], {"wilayah": "Bali"}) == [("SMB", 1), ("Tunaiku", 1)]
+    assert ask(marts, ["total_customers"], ["segment"], {"wilayah": "Bali"}) == [("Retail", 1), ("SMB", 1)]
 
 
 def test_fan_out_is_refused(marts):
