@@ -13,6 +13,10 @@ QUARANTINED = "_quarantined"
 BAD_COLUMNS = "_bad_columns"
 RAW_TOKENS = "_raw"
 LOADED_AT = "_loaded_at"
+LOAD_DATE = "_load_date"
+
+# Folders of a raw table: rejects apart from good rows, then one per load day.
+PARTITIONS = (QUARANTINED, LOAD_DATE)
 
 
 def clean_token(c: Column) -> Column:
@@ -62,6 +66,7 @@ def land_rows(df: DataFrame, schema: T.StructType, loaded_at: Column | None = No
     return marked.select(
         *[typed[c].alias(c) for c in df.columns],
         stamp.alias(LOADED_AT),
+        stamp.cast("date").alias(LOAD_DATE),
         is_bad.cast("int").alias(QUARANTINED),
         F.when(is_bad, F.col(BAD_COLUMNS)).alias(BAD_COLUMNS),
         F.when(is_bad, F.to_json(RAW_TOKENS)).alias(RAW_TOKENS),
@@ -69,7 +74,7 @@ def land_rows(df: DataFrame, schema: T.StructType, loaded_at: Column | None = No
 
 
 def good_rows(landed: DataFrame) -> DataFrame:
-    return landed.filter(F.col(QUARANTINED) == 0).drop(QUARANTINED, BAD_COLUMNS, RAW_TOKENS)
+    return landed.filter(F.col(QUARANTINED) == 0).drop(*PARTITIONS, BAD_COLUMNS, RAW_TOKENS)
 
 
 def rejected_rows(landed: DataFrame) -> DataFrame:
@@ -85,7 +90,7 @@ def split_bad_rows(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Data
 def to_bronze(landed: DataFrame, path: str) -> None:
     """Append one load. Rejects share the write but not the folder, so that a
     file is parsed once and readers of good rows never open the others."""
-    landed.write.mode("append").partitionBy(QUARANTINED).parquet(path)
+    landed.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:

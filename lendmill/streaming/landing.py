@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lendmill.schemas import RAW_TABLES, as_text
-from lendmill.sources.bronze import QUARANTINED, land_rows
+from lendmill.sources.bronze import PARTITIONS, land_rows
 from lendmill.sources.files import CSV_OPTIONS
 
 
@@ -35,7 +35,7 @@ def start_load(
     return (
         land_rows(text, schema)
         .writeStream.format("parquet")
-        .partitionBy(QUARANTINED)
+        .partitionBy(*PARTITIONS)
         .option("checkpointLocation", state)
         .trigger(availableNow=True)
         .start(out)
