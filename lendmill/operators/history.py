@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lendmill.operators.skew import hot_keys, is_small
+from lendmill.operators.skew import Heavy, heavy_keys, is_small
 
 VALID_FROM, VALID_TO, IS_CURRENT = "valid_from", "valid_to", "is_current"
 
@@ -114,7 +114,7 @@ def scd2_apply(
     return dim.filter(~F.col(IS_CURRENT)).select(*after.columns).unionByName(after)
 
 
-def _with_slices(df: DataFrame, key: str, ts: str) -> DataFrame:
+def _with_slices(df: DataFrame, key: str, ts: str, heavy: Heavy) -> DataFrame:
     """Cut the history of hot keys into time slices 1..SLICES of about equal size.
 
     Ordinary keys are slice 0. Hot keys are at most a few thousand, so their
@@ -122,7 +122,7 @@ def _with_slices(df: DataFrame, key: str, ts: str) -> DataFrame:
     """
     shares = ", ".join(str(i / SLICES) for i in range(1, SLICES))
     bounds = F.expr(f"percentile_approx(`{ts}`, array({shares}), 5000)")
-    hot = F.broadcast(hot_keys(df, key))
+    hot = F.broadcast(heavy.frame(df, key))
     cuts = (
         df.select(key, ts).join(hot, key, "left_semi").groupBy(key).agg(bounds.alias("_bounds"))
     )
@@ -154,8 +154,11 @@ def scd2_from_history(
     rows = df.select(key, *check_cols, ts, *([tiebreak] if tiebreak else []))
     if tiebreak:
         rows = latest_per_key(rows, [key, ts], tiebreak)
-    sliced = not is_small(df)
-    rows = _with_slices(rows, key, ts) if sliced else rows.withColumn("_slice", F.lit(0))
+    heavy = Heavy([], False) if is_small(df) else heavy_keys(df, key)
+    sliced = bool(heavy.keys)
+    rows = (
+        _with_slices(rows, key, ts, heavy) if sliced else rows.withColumn("_slice", F.lit(0))
+    )
     in_slice = W.partitionBy(key, "_slice").orderBy(ts)
     per_key = W.partitionBy(key).orderBy("_slice")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendmill.operators.skew import attach, hot_keys, is_small
+from lendmill.operators.skew import Heavy, attach, heavy_keys, is_small
 from lendmill.session import shared_dir
 
 
@@ -22,12 +22,12 @@ def lineage(edges: DataFrame, start: str, direction: str = "upstream", depth: in
     steps = edges.select(F.col(here).alias("node"), F.col(there).alias("next"))
     spark = edges.sparkSession
     # Nodes with very many edges are found once, not in every step.
-    hot = None if is_small(steps) else hot_keys(steps, "node").checkpoint()
+    heavy = Heavy([], False) if is_small(steps) else heavy_keys(steps, "node")
     frontier = spark.createDataFrame([(start, 0)], "node string, distance int")
     seen = frontier
     for distance in range(1, depth + 1):
         reached = (
-            attach(steps, frontier.select("node"), "node", "left_semi", hot)
+            attach(steps, frontier.select("node"), "node", "left_semi", heavy)
             .select(F.col("next").alias("node"))
             .distinct()
             .join(seen.select("node"), "node", "left_anti")

@@ -10,8 +10,11 @@ needlessly.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key is hot when it holds more than one in HOT_SHARE rows and more than
 # HOT_ROWS rows. The sketch keeps SKETCH_ITEMS keys in each of SKETCH_BUCKETS
@@ -45,29 +48,44 @@ def is_small(df: DataFrame) -> bool:
     return size is not None and size < SMALL_BYTES
 
 
-def hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys that hold more than one in HOT_SHARE rows and more than HOT_ROWS rows.
+@dataclass(frozen=True)
+class Heavy:
+    """Keys that hold a large share of the rows; ``missing`` if rows without a key do."""
+
+    keys: list
+    missing: bool
+
+    def frame(self, like: DataFrame, key: str) -> DataFrame:
+        kind = T.StructType([T.StructField(key, like.schema[key].dataType)])
+        return like.sparkSession.createDataFrame([(k,) for k in self.keys], kind)
+
 
-    One pass over the key column. Heavy-hitter sketches are kept per key
-    bucket, so they merge on many reducers instead of one. The result has at
-    most SKETCH_BUCKETS * SKETCH_ITEMS rows whatever the size of ``df``.
+def heavy_keys(df: DataFrame, key: str) -> Heavy:
+    """Keys with more than one in HOT_SHARE rows and more than HOT_ROWS rows.
+
+    Runs one pass over the key column. Heavy-hitter sketches are kept per key
+    bucket, so they merge on many reducers instead of one; at most
+    SKETCH_BUCKETS * SKETCH_ITEMS keys reach the driver, whatever the size of
+    ``df``. Asking first keeps the plan plain in the usual case of none.
     """
     sketch = F.expr(f"approx_top_k(`{key}`, {SKETCH_ITEMS}, {SKETCH_ITEMS * 2})")
     per_bucket = (
         df.select(key)
-        .filter(F.col(key).isNotNull())
         .groupBy(F.pmod(F.xxhash64(key), F.lit(SKETCH_BUCKETS)).alias("_bucket"))
-        .agg(sketch.alias("_top"), F.count(F.lit(1)).alias("_n"))
-    )
-    merged = per_bucket.agg(
-        F.flatten(F.collect_list("_top")).alias("_top"), F.sum("_n").alias("_n")
-    )
-    item = F.col("_item")
-    return (
-        merged.select(F.explode("_top").alias("_item"), "_n")
-        .filter(item["count"] > F.greatest(F.lit(HOT_ROWS), F.col("_n") / HOT_SHARE))
-        .select(item["item"].alias(key))
+        .agg(
+            sketch.alias("_top"),
+            F.count(F.lit(1)).alias("_n"),
+            F.count_if(F.col(key).isNull()).alias("_missing"),
+        )
     )
+    found = per_bucket.agg(
+        F.flatten(F.collect_list("_top")).alias("top"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n"),
+        F.coalesce(F.sum("_missing"), F.lit(0)).alias("missing"),
+    ).first()
+    limit = max(HOT_ROWS, found["n"] / HOT_SHARE)
+    keys = [t["item"] for t in found["top"] if t["item"] is not None and t["count"] > limit]
+    return Heavy(keys, found["missing"] > limit)
 
 
 def attach(
@@ -75,24 +93,28 @@ def attach(
     right: DataFrame,
     key: str,
     how: str = "left",
-    hot: DataFrame | None = None,
+    heavy: Heavy | None = None,
     one_per_key: bool = False,
 ) -> DataFrame:
     """Join ``left`` to ``right`` on ``key``: left, inner, left_semi or left_anti.
 
-    With ``one_per_key`` the caller vouches that ``right`` is grouped by the
-    key; semi and anti joins group it here. Then rows of ``left`` with a hot
-    or missing key never shuffle: they meet a broadcast of the matching right
-    rows, at most one per hot key. Otherwise nothing bounds those rows, and
-    Spark chooses by their size: a broadcast, or a sorted join whose skewed
-    partitions, now free of any aggregate in between, it splits by itself.
-    ``hot`` gives the hot keys of ``left`` where they are already known.
+    Without heavy keys this is the plain join. Otherwise, with ``one_per_key``
+    the caller vouches that ``right`` is grouped by the key; semi and anti
+    joins group it here. Then rows of ``left`` with a heavy key never shuffle:
+    they meet a broadcast of the matching right rows, at most one per heavy
+    key. Where nothing bounds those rows, Spark chooses by their size: a
+    broadcast, or a sorted join whose skewed partitions, with no aggregate in
+    between, it splits by itself. Rows without a key match nothing and stay
+    where they are. ``heavy`` is what is already known of ``left``.
     """
-    if hot is None and is_small(left):
+    if heavy is None:
+        heavy = Heavy([], False) if is_small(left) else heavy_keys(left, key)
+    keeps_unmatched = how in ("left", "left_anti")
+    if not heavy.keys and not (heavy.missing and keeps_unmatched):
         return left.join(right, key, how)
     if how in ("left_semi", "left_anti"):
         right, one_per_key = right.select(key).distinct(), True
-    hot = hot_keys(left, key) if hot is None else hot
+    hot = heavy.frame(left, key)
     flagged = left.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
     is_split = F.col("_hot").isNotNull() | F.col(key).isNull()
     rest = flagged.filter(~is_split).drop("_hot").join(right, key, how)

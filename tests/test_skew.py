@@ -20,9 +20,20 @@ def _skewed(spark, n=600):
 
 
 def test_hot_keys_are_found_and_few(spark, split_everything):
-    found = {r[0] for r in skew.hot_keys(_skewed(spark), "k").collect()}
-    assert {7, 8} <= found
-    assert len(found) <= skew.SKETCH_BUCKETS * skew.SKETCH_ITEMS
+    heavy = skew.heavy_keys(_skewed(spark), "k")
+    assert set(heavy.keys) == {7, 8} and heavy.missing
+    none = skew.heavy_keys(_skewed(spark).filter("k > 100"), "k")
+    assert none == skew.Heavy([], False)
+    assert skew.heavy_keys(_skewed(spark).filter("false"), "k") == none
+
+
+@pytest.mark.parametrize("how", ["left", "left_anti", "inner"])
+def test_many_rows_without_a_key(spark, split_everything, how):
+    left = spark.createDataFrame([(None if i % 2 else i, i) for i in range(100)], "k int, v int")
+    right = spark.createDataFrame([(i, i) for i in range(50)], "k int, w int")
+    assert skew.heavy_keys(left, "k") == skew.Heavy([], True)
+    got = skew.attach(left, right, "k", how, one_per_key=True)
+    assert rows(got) == rows(left.join(right, "k", how))
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
