@@ -38,11 +38,11 @@ WITH w AS (
 ), covered AS (
   SELECT DISTINCT doc_id, i + k AS pos FROM repeated, range(0, 35) AS t(k)
 ), gone AS (
-  SELECT doc_id, list(pos) AS at FROM covered GROUP BY doc_id
+  SELECT doc_id, list(pos) AS cut FROM covered GROUP BY doc_id
 )
-SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(at), 0) AS BIGINT) AS n_removed,
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(cut), 0) AS BIGINT) AS n_removed,
        sha256(coalesce(array_to_string(
-         list_transform(list_filter(range(1, len(words) + 1), lambda p: at IS NULL OR NOT list_contains(at, p)),
+         list_transform(list_filter(range(1, len(words) + 1), lambda p: cut IS NULL OR NOT list_contains(cut, p)),
                         lambda p: words[p]), ' '), '')) AS kept_sha256
 FROM w LEFT JOIN gone USING (doc_id)
 """)
