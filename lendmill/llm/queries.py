@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendmill.llm.columns import table
+from lendmill.llm.simhash import hex_fingerprint, simhash_components
 from lendmill.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +52,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(docs).select(
         "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
     )
+
+
+@query()
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return simhash_components(docs, "doc_id", "text").select(
+        "doc_id", hex_fingerprint().alias("fingerprint"), "component_id"
+    )
