@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendmill.llm.columns import table
+from lendmill.llm.quality_rules import judge
 from lendmill.llm.simhash import hex_fingerprint, simhash_components
 from lendmill.llm.substring_dedup import substring_dedup
 
@@ -60,3 +61,9 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(docs, "doc_id", "text").select(
         "doc_id", hex_fingerprint().alias("fingerprint"), "component_id"
     )
+
+
+@query()
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge(docs, keep_text=False)
