@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendmill.llm.columns import table
+from lendmill.llm.mixing import mix
 from lendmill.llm.quality_rules import judge
 from lendmill.llm.simhash import hex_fingerprint, simhash_components
 from lendmill.llm.substring_dedup import substring_dedup
@@ -67,3 +68,10 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return judge(docs, keep_text=False)
+
+
+@query()
+def op5_mixing_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mix(docs, keep_text=False)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
