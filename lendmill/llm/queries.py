@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lendmill.llm.columns import table
 from lendmill.llm.mixing import mix
+from lendmill.llm.packing import pack
 from lendmill.llm.quality_rules import judge
 from lendmill.llm.simhash import hex_fingerprint, simhash_components
 from lendmill.llm.substring_dedup import substring_dedup
@@ -75,3 +76,8 @@ def op5_mixing_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mixed = mix(docs, keep_text=False)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
