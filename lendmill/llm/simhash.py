@@ -288,3 +288,39 @@ def simhash_components(
 def hex_fingerprint(fingerprint: str = "fingerprint"):
     """Sixteen lower-case hex digits."""
     return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")
+
+
+def keep_one(
+    docs: DataFrame, key: str, text: str, shingle: int = SHINGLE, distance: int = DISTANCE
+) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each linked group the row with the
+    smallest key stays (null last; ties by a hash of the row), of equal rows one."""
+    names, inner = docs.columns, C.hidden(docs)
+    k, t = C.position(docs, key), C.position(docs, text)
+    known = [F.col(c) for c, kind in inner.dtypes if not any(x in kind for x in ("map<", "variant"))]
+    inner = inner.withColumn("row", F.xxhash64(*known)).withColumn(
+        "more", F.xxhash64(F.lit("more"), *known)
+    )
+    prints = C.written(
+        fingerprints(
+            inner.select(
+                F.struct(F.col(k).isNull().alias("none"), F.col(k).alias("key"), "row", "more").alias("it"),
+                F.col(t).alias("text"),
+            ),
+            "text",
+            shingle,
+        ),
+        "fingerprints",
+    )
+    distinct = prints.groupBy("fingerprint").agg(F.min("it").alias("low"))
+    roots = components(link_fingerprints(distinct.select("fingerprint"), distance), "a", "b")
+    first = (
+        distinct.join(roots, distinct.fingerprint == roots.node, "left")
+        .groupBy(F.coalesce("root", "fingerprint").alias("root"))
+        .agg(F.min("low").alias("low"))
+        .select(F.col("low.row").alias("s_row"), F.col("low.more").alias("s_more"))
+    )
+    stay = inner.join(
+        first, (F.col("row") == F.col("s_row")) & (F.col("more") == F.col("s_more")), "left_semi"
+    )
+    return C.shown(stay.dropDuplicates(["row", "more"]), names, {})
