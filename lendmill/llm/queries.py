@@ -12,8 +12,10 @@ from lendmill.llm.columns import table
 from lendmill.llm.mixing import mix
 from lendmill.llm.packing import pack
 from lendmill.llm.quality_rules import judge
+from lendmill.llm.sharding import place
 from lendmill.llm.simhash import hex_fingerprint, simhash_components
 from lendmill.llm.substring_dedup import substring_dedup
+from lendmill.llm.url_filter import ALLOW, BLOCK, filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -110,3 +112,62 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     previous = F.when(F.col("number") > 1, F.col("number") - 1)
     rows = rows.withColumn("previous", previous)
     return digests(conversations(rows, "conv_id", "number", "previous"))
+
+
+#: Host, path, verdict.
+URL_RULES = (
+    ("net", "/", BLOCK),
+    ("example.net", "/en/", ALLOW),
+    ("example.com", "/de/", BLOCK),
+    ("org", "/fr/", ALLOW),
+)
+
+#: Where none of those fits: pages that hold no prose on any host.
+NO_PROSE = ("*/wp-admin/", "*/wp-login", "*/cgi-bin/", "*/cart/", "*/checkout/", "*/login/", "*/signin/")
+
+
+def url_rules(spark: SparkSession) -> DataFrame:
+    rows = [(h + p, h, p, v, 1) for h, p, v in URL_RULES]
+    rows += [(p, "", p, BLOCK, 0) for p in NO_PROSE]
+    names = ("rule", "host", "path", "verdict", "priority")
+    structs = [F.struct(*[F.lit(x).alias(n) for n, x in zip(names, row, strict=True)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+@query(r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), judged AS (
+  SELECT page_id, host, path,
+         CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+              WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+              WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+              WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM parts
+)
+SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+               WHEN rule IS NULL AND regexp_matches(path, '/(wp-admin/|wp-login|cgi-bin/|cart/|checkout/|login/|signin/)')
+               THEN 'block' ELSE 'allow' END AS verdict
+FROM judged
+""")
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    named = F.when(F.col("priority") == 1, F.col("rule")).alias("rule")
+    return filter_urls(pages, url_rules(spark)).select("page_id", "host", "path", named, "verdict")
+
+
+SHARDS = 40
+
+
+@query()
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return place(docs, SHARDS, keep_text=False).select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
+    )
