@@ -15,6 +15,7 @@ from lendmill.llm.quality_rules import judge
 from lendmill.llm.sharding import place
 from lendmill.llm.simhash import hex_fingerprint, simhash_components
 from lendmill.llm.substring_dedup import substring_dedup
+from lendmill.llm.token_counts import count_tokens
 from lendmill.llm.url_filter import ALLOW, BLOCK, filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +172,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place(docs, SHARDS, keep_text=False).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
     )
+
+
+@query()
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line, of documents encoded whole."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs).select(
+        "doc_id", F.col("section").cast("long").alias("line"), "start", "end", "n_tokens", "n_crossing"
+    )
