@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lendmill.llm.ann_tree import nearest_neighbours
 from lendmill.llm.chat import conversations, digests
 from lendmill.llm.columns import table
 from lendmill.llm.mixing import mix
@@ -181,3 +182,9 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs).select(
         "doc_id", F.col("section").cast("long").alias("line"), "start", "end", "n_tokens", "n_crossing"
     )
+
+
+@query()
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
