@@ -175,8 +175,12 @@ def improved(model: Model, patterns: list[tuple[dict[str, int], int]]) -> tuple[
     start = start_model([c for c in model.share if c != "good"])
     total = {c: PRIOR_COUNT * start.share[c] for c in model.share}
     belief = GOOD_PRIOR * sum(n for _, n in patterns)
+    # what a rule says of another rule's kind is taken to be what it says of good texts
     sums = {
-        c: {r: {v: PRIOR_COUNT * p for v, p in own.items()} for r, own in rules.items()}
+        c: {
+            r: {v: PRIOR_COUNT * p for v, p in (own if c in ("good", r) else model.votes["good"][r]).items()}
+            for r, own in rules.items()
+        }
         for c, rules in start.votes.items()
     }
     for votes, n in patterns:
