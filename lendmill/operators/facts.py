@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendmill.operators.skew import attach
 
 
 
@@ -48,7 +47,7 @@ def txn_by_account(transactions: DataFrame) -> DataFrame:
 
 def txn_with_owner(transactions: DataFrame, savings: DataFrame) -> DataFrame:
     """Transactions with the account's customer; those without an account are dropped."""
-    return attach(transactions, savings.select("account_id", "customer_id"), "account_id", "inner")
+    return transactions.join(savings.select("account_id", "customer_id"), "account_id")
 
 
 def txn_by_customer(transactions: DataFrame, savings: DataFrame) -> DataFrame:
@@ -56,7 +55,7 @@ def txn_by_customer(transactions: DataFrame, savings: DataFrame) -> DataFrame:
     join, so the join moves one row per account instead of every transaction."""
     accounts = savings.select("account_id", "customer_id")
     return (
-        attach(accounts, txn_by_account(transactions), "account_id", "inner", one_per_key=True)
+        accounts.join(txn_by_account(transactions), "account_id")
         .groupBy("customer_id")
         .agg(F.sum("n_txn").alias("n_txn"), F.sum("amount").alias("total_txn_amount"))
     )
@@ -73,7 +72,7 @@ def customer_facts(loans: DataFrame, savings: DataFrame, transactions: DataFrame
     )
     accounts = savings.select("account_id", "customer_id", "balance")
     per_account = txn_by_account(transactions)
-    account_rows = attach(accounts, per_account, "account_id", one_per_key=True).select(
+    account_rows = accounts.join(per_account, "account_id", "left").select(
         "customer_id", F.lit(1).alias("n_accounts"), "balance", "n_txn", "amount"
     )
     return (

@@ -6,23 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lendmill.operators.skew import Heavy, heavy_keys, is_small
+from lendmill.session import fresh_path, shared_dir
 
 VALID_FROM, VALID_TO, IS_CURRENT = "valid_from", "valid_to", "is_current"
 
-# Time slices a hot key's history is cut into; a power of two.
-SLICES = 256
+# Rows of one key that a task sorts; the history of a key with more is cut into
+# time slices of about this size.
+SLICE_ROWS = 1_000_000
 
 
 def latest_per_key(df: DataFrame, key: str | list[str], *newest: str) -> DataFrame:
     """One row per key: the one with the largest ``newest`` columns, NULLs smallest.
 
-    A grouped maximum, not a ranked window: rows combine before the shuffle,
-    so a key that holds a large share of the rows does not meet in one task.
+    Spark keeps the first row of each key before the shuffle already, so a key
+    that holds a large share of the rows sends one row per task.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    best = F.max_by(F.struct(*df.columns), F.struct(*newest)).alias("_row")
-    return df.groupBy(*keys).agg(best).select("_row.*")
+    order = [F.col(c).desc_nulls_last() for c in newest]
+    first = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_place", first).filter("_place = 1").drop("_place")
 
 
 def upsert_latest(base: DataFrame, batch: DataFrame, key: str, ts: str) -> DataFrame:
@@ -114,81 +116,94 @@ def scd2_apply(
     return dim.filter(~F.col(IS_CURRENT)).select(*after.columns).unionByName(after)
 
 
-def _with_slices(df: DataFrame, key: str, ts: str, heavy: Heavy) -> DataFrame:
-    """Cut the history of hot keys into time slices 1..SLICES of about equal size.
+def _sliced(rows: DataFrame, heavy: DataFrame, key: str, ts: str, most: int) -> DataFrame:
+    """Rows of heavy keys, with ``_slice`` numbering runs of about ``most`` rows in
+    order of key and time. Ranges are dealt by key and time, so a key of any size is spread."""
+    spark = rows.sparkSession
+    slices = max(1, -(-heavy.agg(F.sum("_n")).first()[0] // most))
+    path = fresh_path(spark, "slices")
+    own = rows.join(heavy, F.col(key).eqNullSafe(F.col("_heavy")), "left_semi")
+    dealt = own.repartitionByRange(slices, F.col(key), F.col(ts))
+    dealt.withColumn("_slice", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
 
-    Ordinary keys are slice 0. Hot keys are at most a few thousand, so their
-    slice bounds are a small frame.
-    """
-    shares = ", ".join(str(i / SLICES) for i in range(1, SLICES))
-    bounds = F.expr(f"percentile_approx(`{ts}`, array({shares}), 5000)")
-    hot = F.broadcast(heavy.frame(df, key))
-    cuts = (
-        df.select(key, ts).join(hot, key, "left_semi").groupBy(key).agg(bounds.alias("_bounds"))
-    )
-    # Binary search among the bounds: log2(SLICES) comparisons per row of a hot
-    # key, none for an ordinary one.
-    steps = F.array(*[F.lit(SLICES >> i) for i in range(1, SLICES.bit_length())])
-    place = F.aggregate(
-        steps,
-        F.lit(1),
-        lambda at, step: at
-        + F.when(F.get("_bounds", at + step - 2) < F.col(ts), step).otherwise(0),
-    )
-    sliced = F.when(F.col("_bounds").isNull(), 0).otherwise(place)
-    return df.join(F.broadcast(cuts), key, "left").withColumn("_slice", sliced).drop("_bounds")
+
+def _versions(rows: DataFrame, key: str, ts: str, sliced: bool) -> DataFrame:
+    """Rows whose ``_state`` differs from the one before, with ``_until``, the next one's time."""
+    in_slice = W.partitionBy(key, "_slice").orderBy(ts)
+    per_key = W.partitionBy(key).orderBy("_slice")
+
+    def beside(edge: DataFrame, column: str) -> tuple[DataFrame, Column]:
+        """``edge``, one row per key and slice, and how it joins the rows; NULL keys too."""
+        edge = edge.withColumnsRenamed({key: "_key", "_slice": "_at"})
+        same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_at"))
+        return edge.select("_key", "_at", column), same
+
+    rows = rows.withColumn("_before", F.lag("_state").over(in_slice))
+    rows = rows.withColumn("_first_here", F.lag(F.lit(1)).over(in_slice).isNull())
+    if sliced:
+        last = rows.groupBy(key, "_slice").agg(F.max_by("_state", ts).alias("_last"))
+        last = last.withColumn("_carried", F.lag("_last").over(per_key))
+        last = last.withColumn("_first_ever", F.lag(F.lit(1)).over(per_key).isNull())
+        edge, same = beside(last.withColumn("_edge", F.struct("_carried", "_first_ever")), "_edge")
+        rows = rows.join(edge, same).withColumns(
+            {
+                "_before": F.when(F.col("_first_here"), F.col("_edge._carried")).otherwise(F.col("_before")),
+                "_first_here": F.col("_first_here") & F.col("_edge._first_ever"),
+            }
+        )
+        rows = rows.drop("_key", "_at", "_edge")
+    changes = rows.filter(F.col("_first_here") | ~F.col("_state").eqNullSafe(F.col("_before")))
+    changes = changes.withColumn("_until", F.lead(ts).over(in_slice))
+    if sliced:
+        first = changes.groupBy(key, "_slice").agg(F.min(ts).alias("_first"))
+        edge, same = beside(first.withColumn("_next", F.lead("_first").over(per_key)), "_next")
+        changes = changes.join(edge, same).withColumn("_until", F.coalesce("_until", "_next"))
+    return changes
 
 
 def scd2_from_history(
-    df: DataFrame, key: str, check_cols: list[str], ts: str, tiebreak: str | None = None
+    df: DataFrame,
+    key: str,
+    check_cols: list[str],
+    ts: str,
+    tiebreak: str | None = None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """The dimension rebuilt from every past row: key, checked columns, validity.
 
     Rows that repeat the previous state of their key are dropped. With
     ``tiebreak``, the largest one wins among rows of one key and instant;
-    without it, key and instant must be unique. A key with a large share of
-    the history is cut into time slices; the state at each cut is passed to
-    the next slice, so the result is the same as over the whole history.
+    without it, key and instant must be unique. Rows are counted per key first:
+    the history of a key with more than ``slice_rows`` rows, the missing key
+    included, is cut into time slices; the state at each cut is passed to the
+    next slice, so the result is the same as over the whole history.
     """
-    state = F.struct(*check_cols)
     rows = df.select(key, *check_cols, ts, *([tiebreak] if tiebreak else []))
     if tiebreak:
         rows = latest_per_key(rows, [key, ts], tiebreak)
-    heavy = Heavy([], False) if is_small(df) else heavy_keys(df, key)
-    sliced = bool(heavy.keys)
-    rows = (
-        _with_slices(rows, key, ts, heavy) if sliced else rows.withColumn("_slice", F.lit(0))
-    )
-    in_slice = W.partitionBy(key, "_slice").orderBy(ts)
-    per_key = W.partitionBy(key).orderBy("_slice")
-
-    rows = rows.withColumn("_state", state).withColumn("_before", F.lag("_state").over(in_slice))
-    if sliced:
-        carried = (
-            rows.filter("_slice > 0")
-            .groupBy(key, "_slice")
-            .agg(F.max_by("_state", ts).alias("_last"))
-            .select(key, "_slice", F.lag("_last").over(per_key).alias("_carried"))
-        )
-        rows = rows.join(F.broadcast(carried), [key, "_slice"], "left").withColumn(
-            "_before", F.coalesce("_before", "_carried")
+    rows = rows.withColumn("_state", F.struct(*check_cols))
+    counted = df.groupBy(F.col(key).alias("_heavy")).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = counted.filter(F.col("_n") > slice_rows)
+    usual = rows
+    parts = []
+    if not heavy.isEmpty():
+        shared_dir(df.sparkSession)
+        heavy = heavy.checkpoint()
+        usual = rows.join(heavy, F.col(key).eqNullSafe(F.col("_heavy")), "left_anti")
+        parts.append(_versions(_sliced(rows, heavy, key, ts, slice_rows), key, ts, True))
+    parts.append(_versions(usual.withColumn("_slice", F.lit(0)), key, ts, False))
+
+    def final(changes: DataFrame) -> DataFrame:
+        return changes.select(
+            key,
+            *check_cols,
+            F.col(ts).alias(VALID_FROM),
+            F.col("_until").alias(VALID_TO),
+            F.col("_until").isNull().alias(IS_CURRENT),
         )
-    changes = rows.filter(~F.col("_state").eqNullSafe(F.col("_before"))).drop("_carried")
-    changes = changes.withColumn("_until", F.lead(ts).over(in_slice))
-    if sliced:
-        following = (
-            changes.filter("_slice > 0")
-            .groupBy(key, "_slice")
-            .agg(F.min(ts).alias("_first"))
-            .select(key, F.col("_slice"), F.lead("_first").over(per_key).alias("_next"))
-        )
-        changes = changes.join(F.broadcast(following), [key, "_slice"], "left").withColumn(
-            "_until", F.coalesce("_until", "_next")
-        )
-    return changes.select(
-        key,
-        *check_cols,
-        F.col(ts).alias(VALID_FROM),
-        F.col("_until").alias(VALID_TO),
-        F.col("_until").isNull().alias(IS_CURRENT),
-    )
+
+    out = final(parts[0])
+    for part in parts[1:]:
+        out = out.unionByName(final(part))
+    return out

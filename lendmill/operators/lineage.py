@@ -5,29 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendmill.operators.skew import Heavy, attach, heavy_keys, is_small
-from lendmill.session import shared_dir
+from lendmill.session import fresh_path, shared_dir
 
 
 def lineage(edges: DataFrame, start: str, direction: str = "upstream", depth: int = 5) -> DataFrame:
     """Objects within ``depth`` steps of ``start`` and their shortest distance.
 
-    ``edges`` has ``src`` (feeds) and ``dst``. Each step joins the new nodes
-    only and drops those already seen, so cycles end and paths do not
+    ``edges`` has ``src`` (feeds) and ``dst``. The edges are written once, as a table of
+    their own, however much work they are to derive. Each step joins the new
+    nodes only and drops those already seen, so cycles end and paths do not
     multiply. A step's nodes are checkpointed: without it every step would
     recompute all steps before it.
     """
-    shared_dir(edges.sparkSession)
-    here, there = ("dst", "src") if direction == "upstream" else ("src", "dst")
-    steps = edges.select(F.col(here).alias("node"), F.col(there).alias("next"))
     spark = edges.sparkSession
-    # Nodes with very many edges are found once, not in every step.
-    heavy = Heavy([], False) if is_small(steps) else heavy_keys(steps, "node")
+    shared_dir(spark)
+    here, there = ("dst", "src") if direction == "upstream" else ("src", "dst")
+    path = fresh_path(spark, "edges")
+    edges.select(F.col(here).alias("node"), F.col(there).alias("next")).distinct().write.parquet(path)
+    steps = spark.read.parquet(path)
     frontier = spark.createDataFrame([(start, 0)], "node string, distance int")
     seen = frontier
     for distance in range(1, depth + 1):
         reached = (
-            attach(steps, frontier.select("node"), "node", "left_semi", heavy)
+            steps.join(frontier.select("node"), "node", "left_semi")
             .select(F.col("next").alias("node"))
             .distinct()
             .join(seen.select("node"), "node", "left_anti")

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendmill.operators.skew import attach
 
 
 def zero_filled(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -16,13 +15,13 @@ def zero_filled(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows without a parent; a missing key is an orphan."""
-    return attach(child, parent.select(key), key, "left_anti")
+    return child.join(parent.select(key), key, "left_anti")
 
 
 def missing_parent(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose key is set but unknown."""
     known = parent.select(F.col(pk).alias(fk))
-    return attach(child.filter(F.col(fk).isNotNull()), known, fk, "left_anti")
+    return child.filter(F.col(fk).isNotNull()).join(known, fk, "left_anti")
 
 
 def key_usage(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:

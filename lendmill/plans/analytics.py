@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendmill.operators.relations import sort_desc
-from lendmill.operators.skew import attach
 
 
 def _count():
@@ -78,7 +77,7 @@ def province_segment(mlp: DataFrame, c360: DataFrame) -> DataFrame:
 def loans_with_customer(mlp: DataFrame, c360: DataFrame) -> DataFrame:
     """Loan rows with their customer's columns, for row-level use."""
     extra = [c for c in c360.columns if c == "customer_id" or c not in mlp.columns]
-    return attach(mlp, c360.select(*extra), "customer_id", "inner")
+    return mlp.join(c360.select(*extra), "customer_id")
 
 
 def portfolio_kpis(mlp: DataFrame, c360: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from lendmill.functions.cleaning import safe_ratio
 from lendmill.operators.facts import customer_facts, repay_by_loan
 from lendmill.operators.relations import zero_filled
-from lendmill.operators.skew import attach
 
 
 def mart_loan_performance(loans: DataFrame, repayments: DataFrame) -> DataFrame:
@@ -27,7 +26,7 @@ def mart_loan_performance(loans: DataFrame, repayments: DataFrame) -> DataFrame:
         "interest_rate",
         "disbursed_at",
     )
-    joined = attach(slim, repay_by_loan(repayments), "loan_id", one_per_key=True)
+    joined = slim.join(repay_by_loan(repayments), "loan_id", "left")
     ratio = safe_ratio(F.col("total_paid"), F.col("total_due"))
     return zero_filled(
         joined.withColumn("collection_ratio", ratio),
@@ -51,6 +50,6 @@ def mart_customer_360(
     )
     facts = customer_facts(loans, savings, transactions)
     return zero_filled(
-        attach(slim, facts, "customer_id", one_per_key=True),
+        slim.join(facts, "customer_id", "left"),
         [c for c in facts.columns if c != "customer_id"],
     )

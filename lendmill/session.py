@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,8 +37,8 @@ _OWN_DIRS: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    A machine-local folder is used only when the master itself is local and
-    no folder is named; on a cluster a missing setting is an error.
+    On a cluster a missing setting is an error. Where the master itself is local and
+    no folder is named, as in tests, one is made, and removed when Python ends.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -44,7 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         if context.applicationId not in _OWN_DIRS:
-            _OWN_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="lendmill-")
+            made = tempfile.mkdtemp(prefix="lendmill-")
+            atexit.register(shutil.rmtree, made, ignore_errors=True)
+            _OWN_DIRS[context.applicationId] = made
         named = _OWN_DIRS[context.applicationId]
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)

@@ -15,14 +15,5 @@ def spark():
     session.stop()
 
 
-@pytest.fixture
-def split_everything(monkeypatch):
-    """Treat every input as large and every key over 20 rows as hot."""
-    from lendmill.operators import skew
-
-    monkeypatch.setattr(skew, "SMALL_BYTES", 0)
-    monkeypatch.setattr(skew, "HOT_ROWS", 20)
-
-
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)

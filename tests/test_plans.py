@@ -57,7 +57,8 @@ def test_columns_are_pruned_and_keys_filtered_at_the_scan(spark):
 @pytest.mark.parametrize("name", ["upsert_latest", "latest_per_key"])
 def test_latest_rows_combine_before_the_shuffle(spark, name):
     plan = plan_of(spark, name)
-    assert "partial_max_by" in plan and "Window" not in plan
+    assert "SortAggregate" not in plan
+    assert "WindowGroupLimit" in plan.split("Exchange")[1]
 
 
 def test_metrics_do_not_expand_rows(spark):

@@ -10,21 +10,6 @@ from lendmill.plans.registered import ORACLE, QUERIES
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
 
-# Joins and histories that take another path on large or skewed input.
-SPLIT = [
-    "mart_loan_performance",
-    "mart_customer_360",
-    "txn_by_customer",
-    "txn_with_owner",
-    "loans_with_customer",
-    "orphans_anti",
-    "missing_parents",
-    "scd2_history",
-    "lineage_upstream",
-    "npl_by_segment",
-]
-
-
 @pytest.fixture(scope="module")
 def con():
     return connect(SF)
@@ -36,12 +21,6 @@ def test_query(spark, con, name):
     assert problem is None
 
 
-@pytest.mark.parametrize("name", SPLIT)
-def test_query_with_hot_keys(spark, con, name, split_everything):
-    problem, _, _ = compare(spark, con, SF, QUERIES[name], ORACLE[name])
-    assert problem is None
-
-
 def test_entry_points():
     import __spark_entry__ as entry
 
