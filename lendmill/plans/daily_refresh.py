@@ -65,7 +65,9 @@ def daily_refresh(spark: SparkSession, landing: str, root: str, as_of) -> DataFr
     ingest_bronze(spark, landing, f"{root}/bronze")
     raw = {name: read_bronze(spark, target_path(root, name, "bronze")) for name in RAW_TABLES}
     history = snapshot_customers(raw["raw_customers"], root, as_of)
-    staged = staged_tables(raw, as_of)
+    # a loan delivered again replaces what was known of it
+    newest = latest_per_key(raw["raw_loans"], "loan_id", "updated_at", "_loaded_at")
+    staged = staged_tables(raw | {"raw_loans": newest}, as_of)
     for name, df in staged.items():
         register_view(df, name)
     gold = {

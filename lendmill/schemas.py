@@ -69,6 +69,12 @@ RAW_TABLES: dict[str, tuple[str, T.StructType]] = {
     "raw_transactions": ("transactions.csv", RAW_TRANSACTIONS),
 }
 
+# Raw table -> further deliveries whose columns are matched by their headers.
+DRIFT_DELIVERIES: dict[str, tuple[str, ...]] = {
+    "raw_customers": ("customers_v2_schemadrift.csv",),
+    "raw_loans": ("loans_incremental.csv",),
+}
+
 
 def as_text(schema: T.StructType) -> T.StructType:
     """The same columns, all as strings: how a text file is read before conversion."""

@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendmill.fixed_values import NULL_TOKENS
+from lendmill.sources.files import LINE
 
 # Columns the load adds beside the schema's own.
 QUARANTINED = "_quarantined"
 BAD_COLUMNS = "_bad_columns"
 RAW_TOKENS = "_raw"
 LOADED_AT = "_loaded_at"
+KEEP_NULLS = {"ignoreNullFields": "false"}
 LOAD_DATE = "_load_date"
 
-# Folders of a raw table: rejects apart from good rows, then one per load day.
+# Folders of a raw table: one per load; in it rejects apart from good rows, and load days.
+LOAD = "_load"
 PARTITIONS = (QUARANTINED, LOAD_DATE)
 
+# The forms a whole date and a whole time may have.
+DATE_FORM = r"^\d{4}-\d{1,2}-\d{1,2}$"
+TIME_FORM = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
+
 
 def clean_token(c: Column) -> Column:
     """NULL for the tokens that mean no value, else the text as read."""
@@ -36,40 +46,48 @@ def convert_token(c: Column, to: T.DataType) -> Column:
     c = F.trim(c)
     if isinstance(to, (T.LongType, T.DecimalType)):
         digits = to.scale if isinstance(to, T.DecimalType) else 0
+        exact = c.try_cast("decimal(38,0)") if not digits else None
         rounded = F.round(c.try_cast("decimal(38,10)"), digits).try_cast(to)
+        rounded = rounded if exact is None else F.coalesce(rounded, exact.try_cast(to))
         if digits:
             return rounded
         # Plain digits, the usual case, convert without going through a decimal.
         return F.coalesce(c.try_cast("bigint").try_cast(to), rounded)
+    if isinstance(to, T.DateType):
+        return F.when(c.rlike(DATE_FORM), c).try_cast(to)
+    if isinstance(to, (T.TimestampType, T.TimestampNTZType)):
+        return F.when(c.rlike(TIME_FORM), c).try_cast(to)
     return c.try_cast(to)
 
 
 def land_rows(df: DataFrame, schema: T.StructType, loaded_at: Column | None = None) -> DataFrame:
     """Typed rows and rejected rows of one scan, told apart by ``_quarantined``.
 
-    A row is rejected when a token that carries a value does not convert; it
-    keeps its raw tokens and the names of the offending columns. Columns of
-    ``df`` beyond the schema (schema drift) stay text.
+    A row is rejected when a token that carries a value does not convert, or its
+    line's quotes do not match; it keeps its tokens as read and the names of the
+    offending columns. Columns of ``df`` beyond the schema (schema drift) stay text.
     """
     kinds = {f.name: f.dataType for f in schema}
-    cleaned = clean_tokens(df)
-    typed = {c: convert_token(F.col(c), kinds.get(c, T.StringType())) for c in df.columns}
+    torn = F.col(LINE).isNotNull() if LINE in df.columns else F.lit(False)
+    columns = [c for c in df.columns if c != LINE]
+    cleaned = clean_tokens(df.withColumn(RAW_TOKENS, F.to_json(F.struct(*df.columns), KEEP_NULLS)))
+    typed = {c: convert_token(F.col(c), kinds.get(c, T.StringType())) for c in columns}
     offending = [
         F.when(F.col(c).isNotNull() & typed[c].isNull(), F.lit(c))
-        for c in df.columns
+        for c in columns
         if c in kinds and not isinstance(kinds[c], T.StringType)
     ]
-    bad = F.array_compact(F.array(*offending)) if offending else F.array().cast("array<string>")
-    marked = cleaned.withColumns({BAD_COLUMNS: bad, RAW_TOKENS: F.struct(*df.columns)})
+    offending.append(F.when(torn, F.lit(LINE)))
+    marked = cleaned.withColumn(BAD_COLUMNS, F.array_compact(F.array(*offending)))
     is_bad = F.size(BAD_COLUMNS) > 0
     stamp = F.current_timestamp().cast("timestamp_ntz") if loaded_at is None else loaded_at
     return marked.select(
-        *[typed[c].alias(c) for c in df.columns],
+        *[typed[c].alias(c) for c in columns],
         stamp.alias(LOADED_AT),
         stamp.cast("date").alias(LOAD_DATE),
         is_bad.cast("int").alias(QUARANTINED),
         F.when(is_bad, F.col(BAD_COLUMNS)).alias(BAD_COLUMNS),
-        F.when(is_bad, F.to_json(RAW_TOKENS)).alias(RAW_TOKENS),
+        F.when(is_bad, F.col(RAW_TOKENS)).alias(RAW_TOKENS),
     )
 
 
@@ -87,19 +105,38 @@ def split_bad_rows(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Data
     return good_rows(landed).drop(LOADED_AT), rejected_rows(landed).drop(LOADED_AT)
 
 
-def to_bronze(landed: DataFrame, path: str) -> None:
-    """Append one load. Rejects share the write but not the folder, so that a
-    file is parsed once and readers of good rows never open the others."""
-    landed.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+def to_bronze(landed: DataFrame, path: str, load: str | None = None) -> None:
+    """Write one load, the only way into a raw table for streams and batches alike.
+
+    A load of the same name is replaced. Rejects share the write but not the folder,
+    so that a file is parsed once and readers of good rows never open the others.
+    The load's columns are noted beside it, so readers open no file for them.
+    """
+    load = load or uuid.uuid4().hex
+    landed.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(f"{path}/{LOAD}={load}")
+    spark = landed.sparkSession
+    note = spark.range(1).select(F.lit(landed.schema.json()).alias("value"))
+    note.write.mode("overwrite").text(f"{path}/_columns/{load}")
+
+
+def _read_loads(spark: SparkSession, path: str) -> DataFrame:
+    """All loads with the columns of all, known ones first."""
+    noted = [r["value"] for r in spark.read.text(f"{path}/_columns/*").distinct().collect()]
+    schemas = sorted((T.StructType.fromJson(json.loads(s)) for s in noted), key=len)
+    fields = {}
+    for field in (f for s in schemas for f in s):
+        fields.setdefault(field.name, field)
+    schema = T.StructType([*fields.values(), T.StructField(LOAD, T.StringType())])
+    return spark.read.schema(schema).parquet(path).drop(LOAD)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Good rows of all loads; columns added by later loads are NULL in older rows."""
-    return good_rows(spark.read.option("mergeSchema", "true").parquet(path))
+    return good_rows(_read_loads(spark, path))
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    return rejected_rows(spark.read.option("mergeSchema", "true").parquet(path))
+    return rejected_rows(_read_loads(spark, path))
 
 
 def append_evolving(base: DataFrame, new: DataFrame) -> DataFrame:

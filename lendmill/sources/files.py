@@ -9,9 +9,7 @@ from pyspark.sql import types as T
 from lendmill.schemas import as_text
 
 # One header line, fields optionally in double quotes, blanks around a field
-# dropped, short rows padded with NULL and extra fields ignored. No corrupt
-# column is asked for: Spark would flag every row of another width. Files stay
-# splittable because a field does not span lines.
+# dropped, short rows padded with NULL and extra fields ignored.
 CSV_OPTIONS = {
     "header": "true",
     "enforceSchema": "true",
@@ -23,22 +21,50 @@ CSV_OPTIONS = {
 }
 
 
-def read_csv_positional(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
-    """File columns take the schema's names in order; all values are still text."""
-    return spark.read.schema(as_text(schema)).options(**CSV_OPTIONS).csv(path)
+# The line a row was read from, where lines are looked at; bad rows keep it.
+LINE = "_line"
+
+
+def read_csv_positional(
+    spark: SparkSession, path, schema: T.StructType, multi_line: bool = True
+) -> DataFrame:
+    """File columns take the schema's names in order; all values are still text.
+
+    Quoted fields may hold line breaks with ``multi_line``; a file is then read by
+    one task. Without it large files are split by lines, and a column ``_line``
+    carries every line with a torn quote, for the load to set aside.
+    """
+    text = as_text(schema)
+    if multi_line:
+        return spark.read.schema(text).options(**CSV_OPTIONS).option("multiLine", "true").csv(path)
+    # Spark hands out the line of a row of another width than asked for, so one more is asked for
+    asked = T.StructType([*text, T.StructField("_more", T.StringType()), T.StructField(LINE, T.StringType())])
+    read = (
+        spark.read.schema(asked).options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", LINE).csv(path)
+    )
+    torn = F.length(F.regexp_replace(LINE, '[^"]', "")) % 2 == 1
+    return read.withColumn(LINE, F.when(torn, F.col(LINE))).drop("_more")
 
 
 def read_csv_by_name(
-    spark: SparkSession, path: str, schema: T.StructType, evolve: bool = False
+    spark: SparkSession,
+    path,
+    schema: T.StructType,
+    evolve: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Match file columns to the schema by header name, whatever the case.
 
     Columns the file lacks are NULL. Columns the schema lacks are dropped, or
-    kept at the end when ``evolve`` is set. All values are still text. The
-    files under one ``path`` share one header; load each layout separately.
+    kept at the end when ``evolve`` is set. All values are still text. Files that
+    are read together must share one header: another one is an error, never a
+    swap. ``streaming.landing.read_delivered`` groups files by their headers.
     """
-    raw = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path)
-    in_file = {c.strip().lower(): c for c in raw.columns}
+    strict = CSV_OPTIONS | {"enforceSchema": "false", "multiLine": str(multi_line).lower()}
+    raw = spark.read.options(**strict).option("inferSchema", "false").csv(path)
+    if not multi_line:
+        raw = read_csv_positional(spark, path, raw.schema, multi_line=False)
+    in_file = {c.strip().lower(): c for c in raw.columns if c != LINE}
     known = [
         F.col(f"`{in_file[f.name.lower()]}`").alias(f.name)
         if f.name.lower() in in_file
@@ -47,7 +73,8 @@ def read_csv_by_name(
     ]
     names = {f.name.lower() for f in schema}
     extra = [F.col(f"`{c}`").alias(low) for low, c in in_file.items() if low not in names]
-    return raw.select(*known, *(extra if evolve else []))
+    line = [] if multi_line else [LINE]
+    return raw.select(*known, *(extra if evolve else []), *line)
 
 
 def read_parquet(spark: SparkSession, path) -> DataFrame:

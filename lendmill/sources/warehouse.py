@@ -19,9 +19,27 @@ def register_view(df: DataFrame, name: str) -> None:
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Replace the table with this result and read it back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Publish this result as the table's next run and read it back.
+
+    Readers keep the run before until the new one is written whole; a job that dies
+    half-way leaves it in force, and the next try overwrites the half-written run.
+    """
+    spark = df.sparkSession
+    run = current_run(spark, path) + 1
+    df.write.mode("overwrite").parquet(f"{path}/runs/run={run}")
+    _record_run(spark, path, run)
+    return read_table(spark, path)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The last published run."""
+    return spark.read.parquet(f"{path}/runs/run={current_run(spark, path)}")
+
+
+def _record_run(spark: SparkSession, path: str, run: int) -> None:
+    spark.range(run, run + 1).select(F.col("id").alias("run")).write.mode("append").parquet(
+        f"{path}/published"
+    )
 
 
 def current_run(spark: SparkSession, path: str) -> int:
@@ -46,9 +64,7 @@ def publish_versions(versions: DataFrame, path: str, flag: str = "is_current") -
     spark = versions.sparkSession
     run = current_run(spark, path) + 1
     versions.write.mode("overwrite").partitionBy(flag).parquet(f"{path}/versions/run={run}")
-    spark.range(run, run + 1).select(F.col("id").alias("run")).write.mode("append").parquet(
-        f"{path}/published"
-    )
+    _record_run(spark, path, run)
     return run
 
 

@@ -2,13 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import json
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lendmill.schemas import RAW_TABLES, as_text
-from lendmill.sources.bronze import PARTITIONS, land_rows
-from lendmill.sources.files import CSV_OPTIONS
+from lendmill.schemas import DRIFT_DELIVERIES, RAW_TABLES
+from lendmill.sources.bronze import append_evolving, land_rows, to_bronze
+from lendmill.sources.files import CSV_OPTIONS, read_csv_by_name, read_csv_positional
+
+#: A file counts however old it is: what was loaded is remembered by name.
+NO_AGE = "1000000d"
+
+
+@dataclass(frozen=True)
+class Delivery:
+    """Files of one table: by position, or by header name with new columns kept."""
+
+    files: str
+    schema: T.StructType
+    by_name: bool = False
+
+
+def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
+    return tuple(spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path).columns)
+
+
+def read_delivered(
+    spark: SparkSession, paths: list[str], delivery: Delivery, multi_line: bool = True
+) -> DataFrame:
+    """Text rows of some files. By name, files are read per header, so that each file's columns
+    go where its own header says."""
+    if not delivery.by_name:
+        return read_csv_positional(spark, paths, delivery.schema, multi_line)
+    with ThreadPoolExecutor(16) as pool:  # a header is the first line of its file
+        headers = list(pool.map(lambda p: header_of(spark, p), paths))
+    groups = defaultdict(list)
+    for header, path in zip(headers, paths, strict=True):
+        groups[header].append(path)
+    read = [
+        read_csv_by_name(spark, own, delivery.schema, evolve=True, multi_line=multi_line)
+        for _, own in sorted(groups.items())
+    ]
+    return reduce(append_evolving, read)
 
 
 def start_load(
@@ -18,27 +59,49 @@ def start_load(
     out: str,
     state: str,
     files_per_batch: int = 1000,
+    by_name: bool = False,
+    multi_line: bool = True,
 ) -> StreamingQuery:
     """Start loading the files not loaded before, then stop by itself.
 
-    The stream's checkpoint remembers the files and the file sink commits a
-    batch as a whole: a rerun, or a restart after a lost executor or driver,
-    neither skips nor repeats a row. A file is parsed once; its good and its
-    rejected rows go to different folders of ``out``.
+    The stream only lists files; its checkpoint remembers them, however old a
+    file is when it arrives. A batch of files is read and written as one load of
+    ``out``, named after stream and batch, so a batch that runs again after a
+    failure replaces its own load: no row is skipped or repeated. A file is parsed
+    once; its good and its rejected rows go to different folders of the load.
     """
-    text = (
-        spark.readStream.schema(as_text(schema))
-        .options(**CSV_OPTIONS)
+    delivery = Delivery(landed, schema, by_name)
+    listed = T.StructType(
+        [
+            T.StructField("path", T.StringType()),
+            T.StructField("modificationTime", T.TimestampType()),
+            T.StructField("length", T.LongType()),
+            T.StructField("content", T.BinaryType()),
+        ]
+    )
+    found = (
+        spark.readStream.format("binaryFile")
+        .schema(listed)
         .option("maxFilesPerTrigger", files_per_batch)
-        .csv(landed)
+        .option("maxFileAge", NO_AGE)
+        .load(landed)
+        .select("path", "length")
     )
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        paths = sorted(r["path"] for r in batch.filter("length > 0").collect())  # files_per_batch at most
+        if not paths:
+            return
+        stream = json.loads(session.read.text(f"{state}/metadata").first()[0])["id"]
+        rows = read_delivered(session, paths, delivery, multi_line)
+        to_bronze(land_rows(rows, schema), out, f"{stream}-{batch_id}")
+
     return (
-        land_rows(text, schema)
-        .writeStream.format("parquet")
-        .partitionBy(*PARTITIONS)
+        found.writeStream.foreachBatch(load)
         .option("checkpointLocation", state)
         .trigger(availableNow=True)
-        .start(out)
+        .start()
     )
 
 
@@ -47,15 +110,22 @@ def ingest_bronze(
     landing: str,
     out: str,
     tables: dict[str, tuple[str, T.StructType]] | None = None,
+    drift: dict[str, tuple[str, ...]] | None = None,
 ) -> None:
     """Load all raw tables; the loads run side by side and the call waits for all.
 
     A landed name is a file, a folder of files, or a prefix of both: deliveries
     such as ``loans.csv`` and ``loans.csv.2026-06-02`` are told apart by name.
+    ``drift`` names further deliveries per table, read by header name: columns in
+    any order, missing ones NULL, new ones kept.
     """
-    queries = [
-        start_load(spark, f"{landing}/{file}*", schema, f"{out}/{name}", f"{out}/_state/{name}")
-        for name, (file, schema) in (tables or RAW_TABLES).items()
-    ]
+    drift = DRIFT_DELIVERIES if drift is None and tables is None else drift or {}
+    queries = []
+    for name, (file, schema) in (tables or RAW_TABLES).items():
+        path, state = f"{out}/{name}", f"{out}/_state/{name}"
+        queries.append(start_load(spark, f"{landing}/{file}*", schema, path, state))
+        for extra in drift.get(name, ()):
+            more = f"{state}-{extra.split('.')[0]}"
+            queries.append(start_load(spark, f"{landing}/{extra}*", schema, path, more, by_name=True))
     for query in queries:
         query.awaitTermination()
