@@ -40,7 +40,11 @@ def read_csv_positional(
     # Spark hands out the line of a row of another width than asked for, so one more is asked for
     asked = T.StructType([*text, T.StructField("_more", T.StringType()), T.StructField(LINE, T.StringType())])
     read = (
-        spark.read.schema(asked).options(**CSV_OPTIONS).option("columnNameOfCorruptRecord", LINE).csv(path)
+        spark.read.schema(asked)
+        .options(**CSV_OPTIONS)
+        .option("columnNameOfCorruptRecord", LINE)
+        .option("columnPruning", "false")  # else the width of a line is never looked at
+        .csv(path)
     )
     torn = F.length(F.regexp_replace(LINE, '[^"]', "")) % 2 == 1
     return read.withColumn(LINE, F.when(torn, F.col(LINE))).drop("_more")
