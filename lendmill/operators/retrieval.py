@@ -11,25 +11,48 @@ from lendmill.fixed_values import BM25_B, BM25_K1
 from lendmill.functions.text import tokens
 
 
+# Columns of stored documents beside key, length and attributes.
+WORDS, GONE = "_words", "_gone"
+
+
 @dataclass(frozen=True)
 class SearchIndex:
-    """``postings``: term, key, doc_len, tf. ``docs``: key, doc_len and attributes."""
+    """``postings``: term, key, doc_len, tf. ``docs``: key, doc_len and attributes.
+
+    ``counted`` is what both come from: the documents with their words counted.
+    """
 
     postings: DataFrame
     docs: DataFrame
     key: str
+    counted: DataFrame | None = None
+
+
+def _postings(counted: DataFrame, key: str) -> DataFrame:
+    # The outer form keeps Spark from splitting each text twice to drop empty ones.
+    return (
+        counted.select(key, "doc_len", F.explode_outer(WORDS).alias("_word"))
+        .select("_word.term", key, "doc_len", "_word.tf")
+        .filter(F.col("term").isNotNull())
+    )
 
 
-def build_index(docs: DataFrame, text: str, key: str, attributes: list[str] = ()) -> SearchIndex:
+def build_index(
+    docs: DataFrame, text: str, key: str, attributes: list[str] = (), deleted: str | None = None
+) -> SearchIndex:
     """Term index over the whole text of every document; one row per document goes in.
 
+    A row whose ``deleted`` column is true says that the document is gone.
+
     Words are counted inside the document's row: sorting brings equal words
     together, a word starts where its left neighbour differs and lasts to the
     next start. So no word is shuffled to be counted.
     """
-    split = docs.select(key, *attributes, tokens(F.col(text)).alias("_tokens"))
+    gone = F.coalesce(F.col(deleted), F.lit(False)) if deleted else F.lit(False)
+    words = F.when(~gone, tokens(F.col(text)))
+    split = docs.select(key, *attributes, gone.alias(GONE), words.alias("_tokens"))
     length = F.coalesce(F.size("_tokens"), F.lit(0)).alias("doc_len")
-    ordered = split.select(key, length, F.sort_array("_tokens").alias("_sorted"))
+    ordered = split.select(key, *attributes, GONE, length, F.sort_array("_tokens").alias("_sorted"))
     is_start = F.transform(
         "_sorted", lambda w, i: F.when((i == 0) | (w != F.get("_sorted", i - 1)), i)
     )
@@ -41,31 +64,42 @@ def build_index(docs: DataFrame, text: str, key: str, attributes: list[str] = ()
             (F.coalesce(F.get("_starts", i + 1), F.col("doc_len")) - at).cast("long").alias("tf"),
         ),
     )
-    # The outer form keeps Spark from splitting each text twice to drop empty ones.
-    postings = (
-        starts.select(key, "doc_len", F.explode_outer(counted).alias("_word"))
-        .select("_word.term", key, "doc_len", "_word.tf")
-        .filter(F.col("term").isNotNull())
-    )
-    return SearchIndex(postings, split.select(key, length, *attributes), key)
+    rows = starts.select(key, "doc_len", *attributes, GONE, counted.alias(WORDS))
+    kept = rows.filter(~F.col(GONE)) if deleted else rows
+    plain = split.filter(~F.col(GONE)) if deleted else split
+    return SearchIndex(_postings(kept, key), plain.select(key, length, *attributes), key, rows)
+
 
+def write_index(index: SearchIndex, path: str, part: int = 0) -> None:
+    """Store one part of an index; writing the same part again replaces it.
 
-def write_index(index: SearchIndex, path: str, part: int | str = "all") -> None:
-    """Store one part of an index. Postings are sorted by term within files, so a
-    search skips the row groups that hold none of its terms. Writing the same
-    part again replaces it."""
-    index.postings.sortWithinPartitions("term").write.mode("overwrite").parquet(
+    Texts are split once: documents are written with their words counted, and the
+    postings come from that table. Postings are sorted by term within files, so a
+    search skips the row groups that hold none of its terms.
+    """
+    spark, docs = index.counted.sparkSession, f"{path}/docs/part={part}"
+    index.counted.write.mode("overwrite").parquet(docs)
+    postings = _postings(spark.read.parquet(docs), index.key)
+    postings.sortWithinPartitions("term").write.mode("overwrite").parquet(
         f"{path}/postings/part={part}"
     )
-    index.docs.write.mode("overwrite").parquet(f"{path}/docs/part={part}")
 
 
 def read_index(spark: SparkSession, path: str, key: str) -> SearchIndex:
-    return SearchIndex(
-        spark.read.parquet(f"{path}/postings").drop("part"),
-        spark.read.parquet(f"{path}/docs").drop("part"),
-        key,
-    )
+    """The index as it now is: of each document the newest part counts, and a document that
+    its newest part says is gone is not there. The term filter of a search still reaches
+    the scan of the postings; what is joined to them is the few rows that hold a term."""
+    docs = spark.read.parquet(f"{path}/docs")
+    newest = docs.groupBy(F.col(key).alias("_key")).agg(F.max("part").alias("_part"))
+    is_newest = (F.col(key) == F.col("_key")) & (F.col("part") == F.col("_part"))
+    live = docs.join(newest, is_newest).filter(~F.col(GONE)).drop("_key", "_part", "part", GONE)
+    postings = spark.read.parquet(f"{path}/postings").join(newest, is_newest, "left_semi")
+    return SearchIndex(postings.drop("part"), live.drop(WORDS), key, live.withColumn(GONE, F.lit(False)))
+
+
+def compact_index(spark: SparkSession, path: str, key: str, out: str) -> None:
+    """The index in one part under another path, without replaced and removed documents."""
+    write_index(read_index(spark, path, key), out)
 
 
 def query_terms(spark: SparkSession, query: str) -> list[str]:

@@ -1380,6 +1380,30 @@ def stream_index(spark, d):
     return retrieval.search(index, _SEARCH, ["lang", "source"], 10)
 
 
+@query(_TOP_DOCS, extra=_BM25)
+def stream_index_replaced(spark, d):
+    """Every document is delivered with another's text first, half of them again as they are, then
+    all; one more is delivered and taken back. The search sees the newest texts only."""
+    path, out, state = (fresh_path(spark, n) for n in ("documents", "index", "state"))
+    rows = D.table(spark, d, "documents").withColumn("gone", F.lit(False))
+    wrong = rows.withColumn("text", F.concat(F.lit(f"{_SEARCH} "), F.reverse("text")))
+    more = rows.agg(F.max("doc_id").alias("doc_id")).select(
+        (F.col("doc_id") + 1).alias("doc_id"), F.lit(_SEARCH).alias("text"), F.lit("en").alias("lang"),
+        F.lit("x").alias("source"), F.lit(1).cast("long").alias("n_chars"), F.lit(False).alias("gone"),
+    )
+    for part in (
+        wrong.unionByName(more),
+        rows.filter("doc_id % 2 = 0"),
+        rows.unionByName(more.withColumn("gone", F.lit(True))),
+    ):
+        part.write.mode("append").parquet(path)
+        start_indexing(
+            spark, path, rows.schema, "text", "doc_id", ["lang", "source"], out, state, None, "gone"
+        ).awaitTermination()
+    index = retrieval.read_index(spark, out, "doc_id")
+    return retrieval.search(index, _SEARCH, ["lang", "source"], 10)
+
+
 @query(
     """SELECT 'ingest' AS step, table_name AS object, n AS n_rows, 'done' AS status FROM (
          SELECT 'raw_customers' AS table_name, count(*) AS n FROM raw_customers

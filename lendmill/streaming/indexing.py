@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lendmill.operators.history import latest_per_key
 from lendmill.operators.retrieval import build_index, write_index
+from lendmill.streaming.landing import NO_AGE
 
 
 def start_indexing(
@@ -19,19 +22,28 @@ def start_indexing(
     out: str,
     state: str,
     lag: str | None = "1 hour",
+    deleted: str | None = None,
 ) -> StreamingQuery:
     """Index new documents every ``lag``; with ``lag=None`` index what is there and stop.
 
-    A batch writes an index part of its own; if it runs again after a failure
-    it replaces that part.
+    A document delivered again replaces what was known of it, and one whose ``deleted``
+    column is true is removed. A batch writes an index part of its own; if it runs
+    again after a failure it replaces that part. Within a batch the newest file wins.
     """
 
     def add_part(batch: DataFrame, batch_id: int) -> None:
-        write_index(build_index(batch, text, key, attributes), out, batch_id)
+        newest = latest_per_key(batch, key, "_modified", "_file")
+        write_index(build_index(newest, text, key, attributes, deleted), out, batch_id)
 
+    file = [
+        F.col("_metadata.file_modification_time").alias("_modified"),
+        F.col("_metadata.file_path").alias("_file"),
+    ]
     writer = (
         spark.readStream.schema(schema)
+        .option("maxFileAge", NO_AGE)
         .parquet(docs_path)
+        .select("*", *file)
         .writeStream.foreachBatch(add_part)
         .option("checkpointLocation", state)
     )

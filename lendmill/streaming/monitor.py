@@ -3,31 +3,77 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lendmill.operators.quality import Metric, run_metrics
+from lendmill.operators.relations import union_all
+from lendmill.streaming.landing import NO_AGE
+
+
+# Folders of the key table: a batch opens only those its keys fall into.
+KEY_BUCKETS = 256
+
+
+def _new_keys(batch: DataFrame, column: str, path: str, batch_id: int) -> int:
+    """How many keys of the batch no earlier batch had; they are added to the key table."""
+    spark = batch.sparkSession
+    bucket = F.pmod(F.xxhash64("key"), F.lit(KEY_BUCKETS)).cast("int").alias("bucket")
+    keys = batch.select(F.col(column).alias("key")).filter("key IS NOT NULL").distinct()
+    keys = keys.select("key", bucket)
+    touched = [r["bucket"] for r in keys.select("bucket").distinct().collect()]  # KEY_BUCKETS at most
+    schema = T.StructType(
+        [T.StructField("key", keys.schema["key"].dataType)]
+        + [T.StructField(c, T.IntegerType()) for c in ("batch", "bucket")]
+    )
+    part = f"{path}/batch={batch_id}"
+    keys.limit(0).select("key").write.mode("overwrite").parquet(f"{part}/bucket=-1")  # the folder is there
+    known = spark.read.schema(schema).parquet(path)
+    known = known.filter(F.col("bucket").isin(touched) & (F.col("batch") < batch_id))
+    fresh = keys.join(known.select("key", "bucket"), ["key", "bucket"], "left_anti")
+    fresh.write.mode("overwrite").partitionBy("bucket").parquet(part)
+    mine = spark.read.schema(schema).parquet(path).filter(F.col("batch") == batch_id)
+    return mine.count()
 
 
 def start_metrics(
     spark: SparkSession, table_path: str, table: str, metrics: list[Metric], out: str, state: str
 ) -> StreamingQuery:
-    """For every batch of new files, measure the whole table as it then is.
+    """After every batch of new files, the metrics of the table as it then is.
 
-    Results of a batch go to a folder named after it, so a repeated batch
-    replaces its own results instead of adding to them.
+    A batch reads its own rows only. Counts of rows add up over batches; surplus
+    rows of a key are a batch's rows with a key less the keys no earlier batch had,
+    which a table of keys, kept in buckets, tells. What a batch adds goes to
+    folders named after it, so a repeated batch replaces its own results.
     """
     schema = spark.read.parquet(table_path).schema
+    by_key = [m for m in metrics if m.kind == "duplicate_count"]
+    plain = [m for m in metrics if m not in by_key]
 
     def measure(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         now = session.sql("select cast(current_timestamp() as timestamp_ntz)").first()[0]
-        whole = session.read.schema(schema).parquet(table_path)
-        run_metrics(whole, table, metrics, now).write.mode("overwrite").parquet(
-            f"{out}/batch={batch_id}"
-        )
+        parts = [run_metrics(batch, table, plain, now)] if plain else []
+        for m in by_key:
+            fresh = _new_keys(batch, m.column, f"{out}/_keys/{m.name}", batch_id)
+            surplus = batch.agg((F.count(m.column) - F.lit(fresh)).alias("value")).select(
+                F.lit(now).alias("measurement_time"),
+                F.lit(m.name).alias("metric_name"),
+                F.lit(table).alias("table_name"),
+                F.col("value").cast("long").alias("value"),
+            )
+            parts.append(surplus)
+        union_all(parts).write.mode("overwrite").parquet(f"{out}/_added/batch={batch_id}")
+        added = session.read.parquet(f"{out}/_added").filter(F.col("batch") <= batch_id)
+        total = added.groupBy("metric_name", "table_name").agg(F.sum("value").alias("value"))
+        total.select(
+            F.lit(now).alias("measurement_time"), "metric_name", "table_name", "value"
+        ).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return (
         spark.readStream.schema(schema)
+        .option("maxFileAge", NO_AGE)
         .parquet(table_path)
         .writeStream.foreachBatch(measure)
         .option("checkpointLocation", state)
