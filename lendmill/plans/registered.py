@@ -32,6 +32,11 @@ from lendmill.streaming.indexing import start_indexing
 from lendmill.streaming.landing import ingest_bronze, start_load
 from lendmill.streaming.monitor import read_metrics, start_metrics
 
+# What the default model learns from.
+_FEATURES = (
+    "credit_score", "monthly_income", "age", "n_loans", "total_outstanding", "total_savings_balance", "n_transactions"
+)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -113,7 +118,7 @@ def province_profile_known(spark, d):
 
 
 @query(
-    _PROVINCES.format(where=f"WHERE segment = '{V.CUSTOMER_SEGMENTS[0]}'"),
+    _PROVINCES.format(where=f"WHERE segment = 'Tunaiku'"),
     DOUBLE="savings_balance",
 )
 def segment_filtered_provinces(spark, d):
@@ -199,22 +204,44 @@ def stg_transactions(spark, d):
     return D.transactions(spark, d)
 
 
-@query("SELECT * FROM repay", DOUBLE="total_due total_paid")
+@query(
+    """SELECT loan_id, n_installments, total_due, total_paid, n_late, max_days_late FROM mart_loan_performance
+       WHERE n_installments > 0
+       UNION ALL SELECT l_orderkey, count(*), sum(CAST(l_extendedprice AS DECIMAL(18,2))),
+                        sum(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(1 - l_discount AS DECIMAL(4,2))),
+                        count(*) FILTER (WHERE l_returnflag = 'R'), max(l_partkey % 29) - 3
+                 FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey""",
+    DOUBLE="total_due total_paid",
+)
 def repay_by_loan(spark, d):
     return facts.repay_by_loan(D.repayments(spark, d))
 
 
-@query("SELECT * FROM cust_loans", DOUBLE="total_plafond total_outstanding")
+@query(
+    """SELECT customer_id, count(*) AS n_loans, sum(plafond) AS total_plafond, sum(outstanding) AS total_outstanding,
+              max(is_default) AS ever_default FROM raw_loans GROUP BY customer_id""",
+    DOUBLE="total_plafond total_outstanding",
+)
 def loans_by_customer(spark, d):
     return facts.loans_by_customer(D.loans(spark, d))
 
 
-@query("SELECT * FROM cust_savings", DOUBLE="total_balance")
+@query(
+    """SELECT c_custkey - c_custkey % 2 AS customer_id, count(*) AS n_accounts,
+              sum(CAST(c_acctbal AS DECIMAL(18,2))) AS total_balance FROM customer GROUP BY 1""",
+    DOUBLE="total_balance",
+)
 def savings_by_customer(spark, d):
     return facts.savings_by_customer(D.savings(spark, d))
 
 
-@query("SELECT * FROM cust_txn", DOUBLE="total_txn_amount")
+@query(
+    """SELECT c_custkey - c_custkey % 2 AS customer_id, count(*) AS n_txn,
+              sum(CAST(value AS DECIMAL(18,2))) AS total_txn_amount
+       FROM events JOIN customer ON user_id = c_custkey + CASE c_nationkey WHEN 13 THEN 1000000000 ELSE 0 END
+       GROUP BY 1""",
+    DOUBLE="total_txn_amount",
+)
 def txn_by_customer(spark, d):
     return facts.txn_by_customer(D.transactions(spark, d), D.savings(spark, d))
 
@@ -259,16 +286,6 @@ def txn_with_owner(spark, d):
 
 # ---- quality ---------------------------------------------------------------------
 
-# Loans are checked against the customers of one segment, so that orphans occur.
-_SOME_CUSTOMERS = {
-    "some_customers": f"SELECT * FROM stg_customers WHERE segment = '{V.CUSTOMER_SEGMENTS[0]}'"
-}
-
-
-def _some_customers(spark, d):
-    return D.customers(spark, d).filter(F.col("segment") == V.CUSTOMER_SEGMENTS[0])
-
-
 _GATE = """SELECT *, bad_nik + bad_credit_score + duplicate_customer_id + null_segment + orphan_loans AS total_issues
            FROM (SELECT count(*) FILTER (WHERE NOT regexp_full_match(nik, '[0-9]{{16}}')) AS bad_nik,
                         count(*) FILTER (WHERE credit_score NOT BETWEEN 300 AND 850) AS bad_credit_score,
@@ -285,35 +302,69 @@ def dq_gate(spark, d):
     return Q.dq_gate(D.customers(spark, d), D.loans(spark, d)).drop("checked_at")
 
 
+@query(_VERDICT.format(gate=_GATE.format(c="suppliers")), BIGINT="raised", extra={
+    "suppliers": "SELECT * FROM stg_customers UNION ALL SELECT * FROM stg_customers WHERE customer_id % 50 = 0"
+})
+def dq_gate_orphans(spark, d):
+    """The gate over customers of whom some are there twice."""
+    rows = D.customers(spark, d)
+    twice = F.when(F.col("customer_id") % 50 == 0, 2).otherwise(1)
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1), twice)).alias("_time")).drop("_time")
+    return Q.dq_gate(rows, D.loans(spark, d)).drop("checked_at")
+
+
 @query(
-    _VERDICT.format(gate=_GATE.format(c="some_customers")), extra=_SOME_CUSTOMERS, BIGINT="raised"
+    f"""SELECT CAST(bad_nik AS VARCHAR) AS bad_nik, CAST(orphan_loans AS VARCHAR) AS orphan_loans, status,
+               'true' AS raised FROM ({_VERDICT.format(gate=_GATE.format(c="stg_customers"))})"""
 )
-def dq_gate_orphans(spark, d):
-    return Q.dq_gate(_some_customers(spark, d), D.loans(spark, d)).drop("checked_at")
+def dq_verdict_json(spark, d):
+    """The verdict as one JSON object, read back key by key."""
+    verdict = Q.verdict_json(Q.dq_gate(D.customers(spark, d), D.loans(spark, d)))
+    keys = ("bad_nik", "orphan_loans", "status", "raised")
+    return verdict.select(*[F.get_json_object("verdict", f"$.{k}").alias(k) for k in keys])
+
+
+# The expectations on staged tables and marts, as (kind, table, column, rest).
+_EXPECTED = (
+    ("not_null", "stg_customers", "customer_id", ""),
+    ("unique", "stg_customers", "customer_id", ""),
+    ("not_null", "stg_customers", "nik", ""),
+    ("not_null", "stg_customers", "segment", ""),
+    ("accepted_values", "stg_customers", "segment", "'Tunaiku', 'Senyumku', 'SMB'"),
+    ("not_null", "stg_loans", "loan_id", ""),
+    ("unique", "stg_loans", "loan_id", ""),
+    ("not_null", "stg_loans", "customer_id", ""),
+    ("relationships", "stg_loans", "customer_id", "stg_customers"),
+    ("accepted_values", "stg_loans", "is_default", "0, 1"),
+    ("not_null", "stg_repayments", "repayment_id", ""),
+    ("unique", "stg_repayments", "repayment_id", ""),
+    ("relationships", "stg_repayments", "loan_id", "stg_loans"),
+    ("not_null", "stg_savings", "account_id", ""),
+    ("unique", "stg_savings", "account_id", ""),
+    ("accepted_values", "stg_savings", "account_type", "'TABUNGAN', 'DEPOSITO'"),
+    ("not_null", "stg_transactions", "txn_id", ""),
+    ("unique", "stg_transactions", "txn_id", ""),
+    ("not_null", "mart_loan_performance", "loan_id", ""),
+    ("unique", "mart_loan_performance", "loan_id", ""),
+    ("accepted_values", "mart_loan_performance", "dpd_bucket",
+     "'CURRENT', 'DPD_1_30', 'DPD_31_60', 'DPD_61_90', 'DPD_90_PLUS'"),
+    ("not_null", "mart_customer_360", "customer_id", ""),
+    ("unique", "mart_customer_360", "customer_id", ""),
+)
 
 
 def _tests_sql() -> str:
-    parts = []
-    for t in Q.standard_tests():
-        if t.kind == "not_null":
-            counted = f"SELECT count(*) FROM {t.table} WHERE {t.column} IS NULL"
-        elif t.kind == "accepted_values":
-            values = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in t.values)
-            counted = f"SELECT count(*) FROM {t.table} WHERE {t.column} NOT IN ( {values} )"
-        elif t.kind == "unique":
-            counted = (
-                f"SELECT count(*) FROM (SELECT {t.column} FROM {t.table} WHERE {t.column} IS NOT NULL "
-                f"GROUP BY {t.column} HAVING count(*) > 1)"
-            )
-        else:
-            counted = (
-                f"SELECT count(*) FROM {t.table} WHERE {t.column} IS NOT NULL AND {t.column} NOT IN "
-                f"(SELECT {t.to_column} FROM {t.to_table} WHERE {t.to_column} IS NOT NULL)"
-            )
-        parts.append(
-            f"SELECT '{t.name}' AS test_name, '{t.table}' AS table_name, "
-            f"'{t.column}' AS column_name, ({counted}) AS failures"
-        )
+    failing = {
+        "not_null": "SELECT count(*) FROM {t} WHERE {c} IS NULL",
+        "unique": "SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)",
+        "accepted_values": "SELECT count(*) FROM {t} WHERE {c} NOT IN ( {rest} )",
+        "relationships": "SELECT count(*) FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM {rest})",
+    }
+    parts = [
+        f"SELECT '{kind}_{t}_{c}' AS test_name, '{t}' AS table_name, '{c}' AS column_name, "
+        f"({failing[kind].format(t=t, c=c, rest=rest)}) AS failures"
+        for kind, t, c, rest in _EXPECTED
+    ]
     body = " UNION ALL ".join(parts)
     return f"SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({body})"
 
@@ -363,11 +414,10 @@ def dq_metrics(spark, d):
 
 @query(
     """SELECT l.loan_id, l.customer_id FROM stg_loans l
-       LEFT JOIN some_customers c ON l.customer_id = c.customer_id WHERE c.customer_id IS NULL""",
-    extra=_SOME_CUSTOMERS,
+       LEFT JOIN stg_customers c ON l.customer_id = c.customer_id WHERE c.customer_id IS NULL"""
 )
 def orphans_anti(spark, d):
-    lost = R.orphans(D.loans(spark, d), _some_customers(spark, d), "customer_id")
+    lost = R.orphans(D.loans(spark, d), D.customers(spark, d), "customer_id")
     return lost.select("loan_id", "customer_id")
 
 
@@ -384,25 +434,25 @@ def _closed_links(spark, d):
 
 @query(
     """SELECT loan_id, owner FROM closed_links
-       WHERE owner IS NOT NULL AND owner NOT IN (SELECT customer_id FROM some_customers)""",
-    extra={**_SOME_CUSTOMERS, **_CLOSED},
+       WHERE owner IS NOT NULL AND owner NOT IN (SELECT customer_id FROM stg_customers)""",
+    extra=_CLOSED,
 )
 def missing_parents(spark, d):
     return R.missing_parent(
-        _closed_links(spark, d), "owner", _some_customers(spark, d), "customer_id"
+        _closed_links(spark, d), "owner", D.customers(spark, d), "customer_id"
     ).select("loan_id", "owner")
 
 
 @query(
     """SELECT
-         (SELECT count(*) FROM closed_links l LEFT JOIN some_customers c ON l.owner = c.customer_id
+         (SELECT count(*) FROM closed_links l LEFT JOIN stg_customers c ON l.owner = c.customer_id
            WHERE c.customer_id IS NULL) AS with_missing_keys,
-         (SELECT count(*) FROM closed_links l LEFT JOIN some_customers c ON l.owner = c.customer_id
+         (SELECT count(*) FROM closed_links l LEFT JOIN stg_customers c ON l.owner = c.customer_id
            WHERE c.customer_id IS NULL AND l.owner IS NOT NULL) AS without_missing_keys""",
-    extra={**_SOME_CUSTOMERS, **_CLOSED},
+    extra=_CLOSED,
 )
 def orphan_counts(spark, d):
-    links, parents = _closed_links(spark, d), _some_customers(spark, d)
+    links, parents = _closed_links(spark, d), D.customers(spark, d)
     without = R.count_orphans(links, "owner", parents, "customer_id", nulls_count=False)
     counted = R.count_orphans(links, "owner", parents, "customer_id")
     return counted.select(
@@ -468,12 +518,12 @@ _VERSIONS = {
     "snapshot": "SELECT customer_id, full_name, province, segment, credit_score FROM stg_customers",
     "later": f"""
         SELECT customer_id,
-               CASE WHEN segment = '{V.CUSTOMER_SEGMENTS[1]}' THEN upper(full_name) ELSE full_name END AS full_name,
-               CASE WHEN segment = '{V.CUSTOMER_SEGMENTS[0]}' THEN 'Bali' ELSE province END AS province,
+               CASE WHEN segment = 'Senyumku' THEN upper(full_name) ELSE full_name END AS full_name,
+               CASE WHEN segment = 'Tunaiku' THEN 'Bali' ELSE province END AS province,
                segment, credit_score
-        FROM stg_customers WHERE segment <> '{V.CUSTOMER_SEGMENTS[2]}'
+        FROM stg_customers WHERE segment <> 'SMB'
         UNION ALL
-        SELECT s_suppkey + 1000000000, s_name, NULL, '{V.CUSTOMER_SEGMENTS[2]}', CAST(700 AS BIGINT) FROM supplier""",
+        SELECT s_suppkey + 1000000000, s_name, NULL, 'SMB', CAST(700 AS BIGINT) FROM supplier""",
     "changes": """
         SELECT coalesce(o.customer_id, n.customer_id) AS customer_id,
                CASE WHEN o.customer_id IS NULL THEN 'new' WHEN n.customer_id IS NULL THEN 'gone'
@@ -581,9 +631,9 @@ def _governed(spark, d, role):
 
 
 @query(
-    f"""SELECT customer_id, '{V.NIK_HIDDEN}' AS nik, regexp_replace(email, '^[^@]+', '****') AS email,
+    f"""SELECT customer_id, 'XXXXXXXXXXXXXXXX' AS nik, regexp_replace(email, '^[^@]+', '****') AS email,
                left(phone, 4) || 'XXXXXX' AS phone, CAST(NULL AS DOUBLE) AS monthly_income, province
-        FROM stg_customers WHERE province = '{V.OPEN_PROVINCE}'"""
+        FROM stg_customers WHERE province = 'DKI Jakarta'"""
 )
 def masked_analyst(spark, d):
     return _governed(spark, d, M.ANALYST)
@@ -607,7 +657,7 @@ def masked_auditor(spark, d):
     return _governed(spark, d, M.AUDITOR)
 
 
-@query(f"SELECT * FROM stg_customers WHERE province = '{V.OPEN_PROVINCE}'", DOUBLE="monthly_income",
+@query(f"SELECT * FROM stg_customers WHERE province = 'DKI Jakarta'", DOUBLE="monthly_income",
        VARCHAR="birth_date created_at updated_at _loaded_at")
 def row_access(spark, d):
     return G.apply_row_access(D.customers(spark, d), M.ANALYST)
@@ -620,13 +670,26 @@ def projection_allowed(spark, d):
 
 @query(
     f"""SELECT customer_id, left(phone, 4) || 'XXXXXX' AS phone FROM stg_customers
-        WHERE province = '{V.OPEN_PROVINCE}'"""
+        WHERE province = 'DKI Jakarta'"""
 )
 def projection_lenient(spark, d):
     wanted = ["customer_id", "nik", "phone"]
     return G.governed_select(D.customers(spark, d), wanted, M.ANALYST, lenient=True)
 
 
+@query(
+    """SELECT customer_id, repeat('X', greatest(length(nik) - 4, 0)) || right(nik, 4) AS nik,
+              regexp_replace(email, '^[^@]+', '****') AS email FROM stg_customers"""
+)
+def masked_by_variable(spark, d):
+    """The role is a variable of the session, read where the query runs."""
+    spark.sql("DECLARE OR REPLACE VARIABLE current_role_name STRING DEFAULT 'analyst'")
+    spark.sql("SET VAR current_role_name = 'engineer'")
+    role = F.expr("current_role_name")
+    rows = G.apply_row_access(D.customers(spark, d), role)
+    return G.apply_masking(rows, G.CUSTOMER_POLICIES, role).select("customer_id", "nik", "email")
+
+
 @query(
     """SELECT customer_id, age, repeat('X', greatest(length(nik) - 4, 0)) || right(nik, 4) AS nik,
               regexp_replace(email, '^[^@]+', '****') AS email, left(phone, 4) || 'XXXXXX' AS phone,
@@ -667,9 +730,13 @@ def loans_by_sql(spark, d):
 
 
 def _tags_sql() -> str:
-    columns = [f.name for f in schemas.RAW_CUSTOMERS] + ["age", "_loaded_at"]
-    rows = [(c, "pii_type", v) for c, v in G.CUSTOMER_TAGS.items()]
-    rows += [(c, "data_classification", G.CUSTOMER_CLASS) for c in columns]
+    columns = (
+        "customer_id nik npwp full_name gender birth_date province city segment credit_score "
+        "monthly_income phone email created_at updated_at age _loaded_at"
+    ).split()
+    tags = {"nik": "NIK", "npwp": "NPWP", "phone": "PHONE", "email": "EMAIL"}
+    rows = [(c, "pii_type", v) for c, v in tags.items()]
+    rows += [(c, "data_classification", "CONFIDENTIAL") for c in columns]
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, '{k}' AS tag, '{v}' AS tag_value, count({c}) AS n_values FROM stg_customers"
         for c, k, v in rows
@@ -772,7 +839,7 @@ def semantic_mixed_grain(spark, d):
 @query(
     f"""SELECT l.dpd_bucket, sum(l.outstanding) AS total_outstanding
         FROM mart_loan_performance l JOIN mart_customer_360 c ON l.customer_id = c.customer_id
-        WHERE c.segment = '{V.CUSTOMER_SEGMENTS[0]}' AND l.product_segment = 'SMB' GROUP BY l.dpd_bucket""",
+        WHERE c.segment = 'Tunaiku' AND l.product_segment = 'SMB' GROUP BY l.dpd_bucket""",
     DOUBLE="total_outstanding",
 )
 def semantic_filtered(spark, d):
@@ -796,8 +863,8 @@ _BM25 = {
     "in_docs": "SELECT word, count(*) AS df FROM postings GROUP BY word",
     "corpus": "SELECT count(*) AS n_docs, avg(len(words)) AS mean_len FROM split_docs",
     "scored": f"""
-        SELECT doc_id, round(sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * ({V.BM25_K1} + 1)
-               / (tf + {V.BM25_K1} * (1 - {V.BM25_B} + {V.BM25_B} * doc_len / mean_len))), 6) AS score
+        SELECT doc_id, round(sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * (1.2 + 1)
+               / (tf + 1.2 * (1 - 0.75 + 0.75 * doc_len / mean_len))), 6) AS score
         FROM postings p JOIN in_docs i ON p.word = i.word CROSS JOIN corpus GROUP BY doc_id""",
 }
 _TOP_DOCS = """SELECT s.doc_id, d.lang, d.source, s.score FROM scored s JOIN split_docs d ON s.doc_id = d.doc_id
@@ -855,8 +922,8 @@ def json_extract(spark, d):
 
 _FEATURE_ROWS = {
     "feature_rows": "SELECT customer_id, "
-    + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0) AS {c}" for c in V.FEATURES)
-    + f", CAST({V.LABEL} AS DOUBLE) AS {V.LABEL} FROM mart_customer_360"
+    + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0) AS {c}" for c in _FEATURES)
+    + ", CAST(ever_default AS DOUBLE) AS ever_default FROM mart_customer_360"
 }
 
 
@@ -899,17 +966,17 @@ def ml_eda(spark, d):
     return out.withColumns({c: F.round(c, 3) for c in ("mean_value", "stddev_value")})
 
 
-@query(f"SELECT {V.LABEL}, count(*) AS n_rows FROM mart_customer_360 GROUP BY {V.LABEL}")
+@query(f"SELECT ever_default, count(*) AS n_rows FROM mart_customer_360 GROUP BY ever_default")
 def ml_target_balance(spark, d):
     return ml.target_balance(D.customer_mart(spark, d))
 
 
 @query(
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS feature, CASE WHEN stddev_pop({c}) * stddev_pop({V.LABEL}) > 0 THEN round(corr({c}, {V.LABEL}), 6) END AS label_corr,
+        f"""SELECT '{c}' AS feature, CASE WHEN stddev_pop({c}) * stddev_pop(ever_default) > 0 THEN round(corr({c}, ever_default), 6) END AS label_corr,
                    count(*) FILTER (WHERE {c} = 0) AS n_zero,
-                   round(avg({V.LABEL}) FILTER (WHERE {c} = 0), 6) AS label_rate_at_zero FROM feature_rows"""
-        for c in V.FEATURES
+                   round(avg(ever_default) FILTER (WHERE {c} = 0), 6) AS label_rate_at_zero FROM feature_rows"""
+        for c in _FEATURES
     ),
     extra=_FEATURE_ROWS,
 )
@@ -968,9 +1035,9 @@ def ml_scores_in_range(spark, d):
 
 
 @query(
-    f"""SELECT CAST({V.LABEL} AS BIGINT) AS actual, count(*) AS n_rows, 1 AS importances_sum_to_one FROM feature_rows
+    f"""SELECT CAST(ever_default AS BIGINT) AS actual, count(*) AS n_rows, 1 AS importances_sum_to_one FROM feature_rows
         WHERE CAST('0x' || substr(md5(CAST(customer_id AS VARCHAR)), 1, 7) AS BIGINT) % 10000 < 2000
-        GROUP BY {V.LABEL}""",
+        GROUP BY ever_default""",
     extra=_FEATURE_ROWS,
     BIGINT="importances_sum_to_one",
 )
