@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 from decimal import Decimal
 
 import pytest
@@ -12,7 +13,7 @@ from lendmill import schemas
 from lendmill.plans.daily_refresh import daily_refresh
 from lendmill.sources import bronze, files
 from lendmill.sources import warehouse as WH
-from lendmill.streaming.landing import start_load
+from lendmill.streaming.landing import ingest_bronze, start_load
 
 SCHEMA = T.StructType(
     [
@@ -115,6 +116,83 @@ def test_a_file_is_loaded_once(spark, landing, tmp_path):
     assert load() == (7, 3)
 
 
+def test_a_late_file_is_loaded(spark, landing, tmp_path):
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    start_load(spark, landing, SCHEMA, out, state).awaitTermination()
+    late = tmp_path / "in" / "late.csv"
+    late.write_text("id,score,amount,born,rate\nlate,1,1,2024-01-01,1\n")
+    os.utime(late, (1e9, 1e9))
+    start_load(spark, landing, SCHEMA, out, state).awaitTermination()
+    assert bronze.read_bronze(spark, out).filter("id = 'late'").count() == 1
+
+
+def test_streams_and_batches_write_one_table(spark, landing, tmp_path):
+    """Rows of a batch load beside a stream's are read, and a repeated load replaces itself."""
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    start_load(spark, landing, SCHEMA, out, state).awaitTermination()
+    (tmp_path / "b.csv").write_text("id,score,amount,born,rate\nbatch,1,1,2024-01-01,1\n")
+    rows_ = bronze.land_rows(files.read_csv_positional(spark, str(tmp_path / "b.csv"), SCHEMA), SCHEMA)
+    for _ in range(2):
+        bronze.to_bronze(rows_, out, "by-hand")
+    (tmp_path / "in" / "c.csv").write_text("id,score,amount,born,rate\nstream,1,1,2024-01-01,1\n")
+    start_load(spark, landing, SCHEMA, out, state).awaitTermination()
+    got = [r["id"] for r in bronze.read_bronze(spark, out).collect()]
+    assert len(got) == 8 and got.count("batch") == got.count("stream") == 1
+    assert bronze.read_rejects(spark, out).count() == 3
+
+
+def test_files_of_other_headers_go_where_their_header_says(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("id,score\nX1,5\n")
+    (tmp_path / "in" / "b.csv").write_text("score,ID,Tier\n6,X2,GOLD\n")
+    (tmp_path / "in" / "empty.csv").write_text("")
+    two = T.StructType(SCHEMA.fields[:2])
+    out = str(tmp_path / "out")
+    start_load(spark, str(tmp_path / "in"), two, out, str(tmp_path / "s"), by_name=True).awaitTermination()
+    got = bronze.read_bronze(spark, out).select("id", "score", "tier")
+    assert rows(got) == [("X1", 5, None), ("X2", 6, "GOLD")]
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv_by_name(spark, str(tmp_path / "in" / "[ab].csv"), two).collect()
+
+
+def test_drift_delivery_of_the_day(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "people.csv").write_text("id,score\na,1\n")
+    (tmp_path / "in" / "people_v2.csv").write_text("score,tier,id\n2,GOLD,b\n")
+    tables = {"raw": ("people.csv", T.StructType(SCHEMA.fields[:2]))}
+    for _ in range(2):
+        ingest_bronze(spark, str(tmp_path / "in"), str(tmp_path / "out"), tables, {"raw": ("people_v2.csv",)})
+    got = bronze.read_bronze(spark, str(tmp_path / "out" / "raw"))
+    assert rows(got.select("id", "score", "tier")) == [("a", 1, None), ("b", 2, "GOLD")]
+
+
+def test_quoted_breaks_and_torn_lines(spark, tmp_path):
+    path = str(tmp_path / "q.csv")
+    text = 'id,score,amount,born,rate\nX1,5,1,2024-01-01,1\n"X2\nmore",6,1,2024-01-01,1\nX3,7,1,2024-01-01,"1\n"\n'
+    (tmp_path / "q.csv").write_text(text)
+    good, bad = bronze.split_bad_rows(files.read_csv_positional(spark, path, SCHEMA), SCHEMA)
+    assert sorted(r["id"] for r in good.collect()) == ["X1", "X2\nmore", "X3"] and not bad.collect()
+    split = files.read_csv_positional(spark, path, SCHEMA, multi_line=False)
+    good, bad = bronze.split_bad_rows(split, SCHEMA)
+    assert [r["id"] for r in good.collect()] == ["X1"]
+    assert all("_line" in r["_bad_columns"] for r in bad.collect()) and bad.count() == 4
+
+
+def test_partial_dates_and_raw_tokens(spark, tmp_path):
+    (tmp_path / "d.csv").write_text("id,score,amount,born,rate\na,NULL,12345678901234567890123,2024,1\n")
+    landed = files.read_csv_positional(spark, str(tmp_path / "d.csv"), SCHEMA)
+    (bad,) = bronze.split_bad_rows(landed, SCHEMA)[1].collect()
+    assert bad["_bad_columns"] == ["amount", "born"]
+    assert json.loads(bad["_raw"]) == {
+        "id": "a", "score": "NULL", "amount": "12345678901234567890123", "born": "2024", "rate": "1"
+    }
+    wide = T.StructType([T.StructField("id", T.StringType()), *[
+        T.StructField(f.name, T.DecimalType(38, 0) if f.name == "amount" else T.StringType()) for f in SCHEMA.fields[1:]
+    ]])
+    good, _ = bronze.split_bad_rows(landed, wide)
+    assert good.first()["amount"] == Decimal("12345678901234567890123")
+
+
 def _land_day(folder, score):
     folder.mkdir(exist_ok=True)
     stamp = "2026-01-01 00:00:00"

@@ -161,3 +161,27 @@ def test_model(spark, tmp_path):
     leak = {r["feature"]: r["label_rate_at_zero"] for r in ml.leakage(rows_).collect()}
     assert leak["n_loans"] == 0.0
     assert rows(ml.target_balance(rows_).select("n_rows")) == [(133,), (267,)]
+
+
+def test_an_index_follows_its_documents(spark, tmp_path):
+    """Replaced texts answer no more, removed documents are gone, and compaction changes nothing."""
+    path, out = str(tmp_path / "i"), str(tmp_path / "c")
+    kind = "id int, t string, gone boolean"
+    parts = [
+        [(1, "old word", False), (2, "kept word", False), (3, "leaving word", None)],
+        [(1, "new text", False), (3, None, True), (4, "late word", False)],
+        [(3, "back word", False), (4, "x", True)],
+    ]
+    for number, rows_ in enumerate(parts):
+        index = R.build_index(spark.createDataFrame(rows_, kind), "t", "id", deleted="gone")
+        R.write_index(index, path, number)
+    live = R.read_index(spark, path, "id")
+    R.compact_index(spark, path, "id", out)
+    for index in (live, R.read_index(spark, out, "id")):
+        found = {r["id"] for r in R.score_documents(index, "word").collect()}
+        assert found == {2, 3} and index.docs.count() == 3
+        assert {r["id"] for r in R.score_documents(index, "old").collect()} == set()
+    fresh = R.build_index(
+        spark.createDataFrame([(1, "new text"), (2, "kept word"), (3, "back word")], "id int, t string"), "t", "id"
+    )
+    assert rows(R.score_documents(live, "word text")) == rows(R.score_documents(fresh, "word text"))
