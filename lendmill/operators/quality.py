@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendmill import fixed_values as V
 from lendmill.functions import checks as K
-from lendmill.operators.relations import count_orphans, repeated_keys, union_all
+from lendmill.operators.relations import repeated_keys, union_all
 
 
 class GateFailed(RuntimeError):
@@ -149,55 +150,69 @@ def _report(test: ColumnTest, failures: Column) -> Column:
     )
 
 
-def _one_scan(df: DataFrame, by_row: list[ColumnTest], unique: ColumnTest | None) -> DataFrame:
-    """Failures of the row-wise tests and of one uniqueness test.
+def _failures(
+    df: DataFrame,
+    key: str | None,
+    by_row: dict[str, ColumnTest],
+    unique: str | None,
+    children: dict[str, tuple[DataFrame, str]],
+) -> DataFrame:
+    """Failures of one table's tests, a column per test, to be summed over all rows.
 
-    With a uniqueness test the rows are reduced per key first, which counts
-    the copies; the row-wise failures ride along as sums.
+    With a key the rows are reduced per key, which counts its copies, and the rows of
+    the tables that refer to it are counted along: one shuffle tells repeated keys
+    and orphans. Row-wise failures ride along as sums.
     """
-    names = {t: f"t{i}" for i, t in enumerate(by_row)}
-    if unique is None:
-        counted = df.agg(*[K.hits(_row_rule(t)).alias(n) for t, n in names.items()])
-        found = [_report(t, F.col(n)) for t, n in names.items()]
-    else:
-        key = unique.column
-        per_key = df.groupBy(F.col(key).alias("_key")).agg(
-            F.count(F.lit(1)).alias("_copies"),
-            *[K.hits(_row_rule(t)).alias(n) for t, n in names.items()],
+    flags = {n: _row_rule(t).cast("long").alias(n) for n, t in by_row.items()}
+    if key is None:
+        return df.select(*flags.values())
+    own = {n: F.lit(0).cast("long").alias(n) for n in (*by_row, *children)}
+    one, none = F.lit(1).alias("_copies"), F.lit(0).alias("_copies")
+    stacked = df.select(F.col(key).alias("_key"), one, *(own | flags).values())
+    for n, (child, fk) in children.items():
+        mark = {n: F.lit(1).cast("long").alias(n)}
+        stacked = stacked.unionByName(
+            child.select(F.col(fk).alias("_key"), none, *(own | mark).values())
         )
-        repeated = F.col("_key").isNotNull() & (F.col("_copies") > 1)
-        counted = per_key.agg(
-            F.count_if(repeated).alias("_repeated"),
-            *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names.values()],
-        )
-        found = [_report(t, F.col(n)) for t, n in names.items()]
-        found.append(_report(unique, F.col("_repeated")))
-    return counted.select(F.inline(F.array(*found)))
+    per_key = stacked.groupBy("_key").agg(
+        F.sum("_copies").alias("_copies"), *[F.sum(n).alias(n) for n in own]
+    )
+    known = F.col("_key").isNotNull()
+    out = [F.col(n) for n in by_row]
+    out += [F.when(known & (F.col("_copies") == 0), F.col(n)).alias(n) for n in children]
+    if unique:
+        out.append((known & (F.col("_copies") > 1)).cast("long").alias(unique))
+    return per_key.select(*out)
 
 
 def run_tests(tables: dict[str, DataFrame], tests: list[ColumnTest]) -> DataFrame:
     """One row per test: failures and pass or fail.
 
-    All row-wise tests of a table and its first uniqueness test share one
-    scan; each relationship test takes one grouped count of its key.
+    A table is scanned once for its row-wise tests, its first uniqueness test and the
+    relationships that point at that key. All failures are summed in one aggregate.
     """
-    results = []
+    name = {t: f"t{i}" for i, t in enumerate(tests)}
+    refers = [t for t in tests if t.kind == "relationships"]
+    frames = []
     for table in dict.fromkeys(t.table for t in tests):
         mine = [t for t in tests if t.table == table]
-        by_row = [t for t in mine if t.kind in ("not_null", "accepted_values")]
-        uniques = [t for t in mine if t.kind == "unique"]
-        if by_row or uniques:
-            results.append(_one_scan(tables[table], by_row, uniques[0] if uniques else None))
-        results += [_one_scan(tables[table], [], t) for t in uniques[1:]]
-        for t in mine:
-            if t.kind == "relationships":
-                lost = count_orphans(
-                    tables[table], t.column, tables[t.to_table], t.to_column, nulls_count=False
-                )
-                report = F.inline(F.array(_report(t, F.col("n_orphans"))))
-                results.append(lost.select(report))
+        by_row = {name[t]: t for t in mine if t.kind in ("not_null", "accepted_values")}
+        for t in [t for t in mine if t.kind == "unique"] or [None]:
+            key = t.column if t else None
+            here = [r for r in refers if key and (r.to_table, r.to_column) == (table, key)]
+            refers = [r for r in refers if r not in here]
+            children = {name[r]: (tables[r.table], r.column) for r in here}
+            frames.append(_failures(tables[table], key, by_row, t and name[t], children))
+            by_row = {}
+    for r in refers:  # to a column without a uniqueness test
+        children = {name[r]: (tables[r.table], r.column)}
+        frames.append(_failures(tables[r.to_table], r.to_column, {}, None, children))
+    frames = [f for f in frames if f.columns]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    summed = stacked.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in name.values()])
+    found = summed.select(F.inline(F.array(*[_report(t, F.col(n)) for t, n in name.items()])))
     status = F.when(F.col("failures") == 0, "pass").otherwise("fail")
-    return union_all(results).withColumn("status", status)
+    return found.withColumn("status", status)
 
 
 def _row_rule(t: ColumnTest) -> Column:
