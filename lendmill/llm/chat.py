@@ -112,20 +112,17 @@ def _reaches(nodes: DataFrame) -> list[DataFrame]:
     rounds = [C.written(first, "reach")]
     most = max(1, rounds[0].count()).bit_length()
     while len(rounds) <= most and rounds[-1].where("up IS NOT NULL").limit(1).count():
-        near = rounds[-1]
-        far = near.select([F.col(c).alias(f"far_{c}") for c in near.columns])
-        rounds.append(
-            C.written(
-                near.join(far, near.up == far.far_me, "left").select(
-                    "me",
-                    F.col("far_up").alias("up"),
-                    F.coalesce("far_top", "top").alias("top"),
-                    (F.col("n") + F.coalesce("far_n", F.lit(0))).alias("n"),
-                    (F.col("points") + F.coalesce("far_points", F.lit(0.0))).alias("points"),
-                ),
-                "reach",
-            )
+        # messages whose root is reached are done; only the others look further up
+        near, done = rounds[-1].where("up IS NOT NULL"), rounds[-1].where("up IS NULL")
+        far = rounds[-1].select([F.col(c).alias(f"far_{c}") for c in near.columns])
+        further = near.join(far, near.up == far.far_me).select(
+            "me",
+            F.col("far_up").alias("up"),
+            F.col("far_top").alias("top"),
+            (F.col("n") + F.col("far_n")).alias("n"),
+            (F.col("points") + F.col("far_points")).alias("points"),
         )
+        rounds.append(C.written(further.union(done), "reach"))
     return rounds
 
 
