@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendmill.llm.columns import table, written
+from lendmill.llm.columns import hidden, position, table, written
 from lendmill.llm.mixing import mix
 from lendmill.llm.packing import pack
 from lendmill.llm.quality_rules import judge
@@ -18,9 +18,14 @@ from lendmill.llm.simhash import keep_one
 from lendmill.llm.substring_dedup import substring_dedup
 
 
+# Operators work on columns under hidden names here, so that a column of `documents`
+# named like a result, `kept` or `times`, goes through unchanged.
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that fail the base rules or that the vote model takes for bad go."""
-    return judge(docs).where("kept").select(*docs.columns)
+    inner, text = hidden(docs), position(docs, "text")
+    return judge(inner, text).where("kept").select(inner.columns).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,18 +36,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in passages that also stand elsewhere go; a text without any stays as it was.
 
-    A document that consisted of such passages only goes.
+    A document that consisted of such passages only goes. `n_chars` follows the text.
     """
-    cut = substring_dedup(docs, join_clean=False).where("n_removed = 0 OR n_removed < n_words")
-    length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    inner, text, n_chars = hidden(docs), position(docs, "text"), position(docs, "n_chars")
+    cut = substring_dedup(inner, text, join_clean=False)
+    cut = cut.where("n_removed = 0 OR n_removed < n_words")
+    length = F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col(n_chars))
+    cut = cut.withColumn(n_chars, length.cast(inner.schema[n_chars].dataType))
+    return cut.select(inner.columns).toDF(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document stands as often as the mix takes it, which may be not at all."""
-    taken = mix(docs).where("times > 0")
-    copies = F.explode(F.sequence(F.lit(1), F.col("times")))
-    return taken.select(*docs.columns, copies.alias("copy")).select(*docs.columns)
+    inner = hidden(docs)
+    taken = mix(inner, position(docs, "text"), position(docs, "source")).where("times > 0")
+    copies = F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")
+    return taken.select(*inner.columns, copies).drop("copy").toDF(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -227,6 +227,22 @@ def test_pipeline(spark, tmp_path):
     assert sorted(map(repr, ran)) == sorted(map(repr, packed))
 
 
+def test_pipeline_of_an_empty_table_and_clashing_columns(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept string, times int, n_words int"
+    text = " ".join(f"w{i}" for i in range(120))
+    rows = [(1, text, None, None, None, "mine", 7, None), (2, "", "en", "a", 0, "k", 0, 1)]
+    full = spark.createDataFrame(rows, schema)
+    for docs, n in ((full.where("false"), 0), (full, 1)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, str(tmp_path))
+            assert docs.columns == full.columns, name
+        found = docs.collect()
+        assert len(found) == n
+        if n:
+            assert found[0].kept == "mine" and found[0].times == 7 and found[0].text == text
+        assert corpus_pipeline.packed(spark, docs, str(tmp_path)).count() == n
+
+
 # ---- registered queries -------------------------------------------------------
 
 
