@@ -310,26 +310,25 @@ class AnnIndex:
             "ann-asked",
         )
         per_leaf = {r["leaf"]: r["count"] for r in asked.groupBy("leaf").count().collect()}
-        blocks = lambda n: max(1, math.ceil(n / size))
-        cuts = [(i, blocks(int(n)), blocks(per_leaf.get(i, 0))) for i, n in enumerate(rows)]
-        zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-        cut = F.array(one, one)
-        many = [x for x in cuts if x[1] > 1 or x[2] > 1]
-        if many:  # leaves cut into more than one block on either side
-            by_leaf = F.create_map(*[y for i, a, b in many for y in (F.lit(i).cast("long"), F.array(F.lit(a).cast("long"), F.lit(b).cast("long")))])
-            cut = F.coalesce(F.try_element_at(by_leaf, F.col("leaf")), cut)
-        vectors = self.table.withColumn("cut", cut)
-        vectors = vectors.select(
-            "*",
-            F.pmod(F.xxhash64("id", "vec"), F.get("cut", F.lit(0))).alias("block"),
-            F.explode(F.sequence(zero, F.get("cut", F.lit(1)) - one)).alias("query_block"),
-        ).drop("cut")
-        asked = asked.withColumn("cut", cut)
-        asked = asked.select(
-            "*",
-            F.explode(F.sequence(zero, F.get("cut", F.lit(0)) - one)).alias("block"),
-            F.pmod(F.xxhash64("query"), F.get("cut", F.lit(1))).alias("query_block"),
-        ).drop("cut")
+        cut = lambda n: max(1, math.ceil(n / size))
+        cuts = [(i, cut(int(n)), cut(per_leaf.get(i, 0))) for i, n in enumerate(rows)]
+        # one row per leaf, a few thousand at most
+        cuts = queries.sparkSession.createDataFrame(cuts, "leaf long, blocks long, query_blocks long")
+        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+        vectors = self.table.join(F.broadcast(cuts), "leaf").select(
+            "leaf",
+            "id",
+            "vec",
+            F.pmod(F.xxhash64("id", "vec"), "blocks").alias("block"),
+            every("query_blocks").alias("query_block"),
+        )
+        asked = asked.join(F.broadcast(cuts), "leaf").select(
+            "leaf",
+            "query",
+            "vec",
+            every("blocks").alias("block"),
+            F.pmod(F.xxhash64("query"), "query_blocks").alias("query_block"),
+        )
         keys = ("leaf", "block", "query_block")
         found = (
             vectors.groupBy(*keys)

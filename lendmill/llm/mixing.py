@@ -17,7 +17,7 @@ source, length and 1/``SPREAD`` of the draws, so a length shared by a third of a
 texts is ranked in many tasks. Only a threshold per (source, length, slice) joins
 back, so a text's fate depends on nothing but its own draw. A source's counts, one
 row per distinct length, are fitted in one task: n words have at most sqrt(2n)
-distinct lengths.
+distinct lengths. Sources, one row each, are put in order in one task.
 
 Defined results: null or empty text has size 0 and is taken as often as its source's
 whole copies. Sources in code-point order, null last. A source of size 0 has target
