@@ -179,7 +179,7 @@ def search_texts(
 
 
 def as_results(found: DataFrame, key: str) -> DataFrame:
-    """The k found rows as one array of structs, best first."""
+    """The k found rows, few by the search's own limit, as one array of structs, best first."""
     entry = F.struct(-F.col("score"), F.col(key), F.struct("*").alias("hit"))
     ranked = F.array_sort(F.collect_list(entry))
     return found.agg(F.transform(ranked, lambda e: e["hit"]).alias("results"))
