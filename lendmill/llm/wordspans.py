@@ -125,11 +125,21 @@ _BYTES = Rolling(0x9E3779B97F4A7C15), Rolling(0xD1342543DE82EF95)
 
 
 def word_hashes(w: Words) -> np.ndarray:
-    """A 64-bit hash per word, the same wherever the word stands."""
-    length = (w.ends - w.starts).astype(np.uint64)
-    values = w.data.astype(np.uint64) + np.uint64(1)
-    one, two = (r.runs(values, w.starts, w.ends) for r in _BYTES)
-    out = mixed(mixed(one + length) ^ two)
+    """A 64-bit hash per word, the same wherever the word stands.
+
+    Long texts are worked on in runs of words of about ``SLICE_BYTES``.
+    """
+    out = np.zeros(len(w.starts), np.uint64)
+    length = w.ends - w.starts
+    i = 0
+    while i < len(out):
+        j = max(i + 1, int(np.searchsorted(w.ends, w.starts[i] + SLICE_BYTES, "right")))
+        begin = w.starts[i]
+        if length[i] <= max(SLICE_BYTES, LONG_WORD):  # a longer one comes below
+            values = w.data[begin : w.ends[j - 1]].astype(np.uint64) + np.uint64(1)
+            one, two = (r.runs(values, w.starts[i:j] - begin, w.ends[i:j] - begin) for r in _BYTES)
+            out[i:j] = mixed(mixed(one + length[i:j].astype(np.uint64)) ^ two)
+        i = j
     for i in np.flatnonzero(length > LONG_WORD):
         out[i] = xxhash.xxh3_64_intdigest(w.data[w.starts[i] : w.ends[i]].tobytes())
     return out

@@ -6,6 +6,7 @@ import numpy as np
 import plain
 import pytest
 
+from lendmill.llm import wordspans
 from lendmill.llm.components import components
 from lendmill.llm.simhash import (
     _forest,
@@ -44,6 +45,20 @@ def test_substring_intervals_and_clean_texts(docs):
     assert found[(14, 14)].text == ""
 
 
+def test_word_hashes_do_not_depend_on_place_or_slice(monkeypatch):
+    words = ["a", "bb", "a" * 63, "é" * 40, "x" * 5000, "bb", "yy" * 900, "a"] * 3
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    found = []
+    for size in (1 << 20, 100, 3):
+        monkeypatch.setattr(wordspans, "SLICE_BYTES", size)
+        found.append(wordspans.word_hashes(wordspans.spans(data, np.array([0, len(data)]))).tolist())
+        by = {}
+        for w, h in zip(words, found[-1], strict=True):
+            assert by.setdefault(w, h) == h
+        assert len(set(by.values())) == len(by)
+    assert found[0] == found[1] == found[2]
+
+
 def test_substring_empty_table(docs):
     assert substring_dedup(docs.where("false")).collect() == []
 
