@@ -27,6 +27,8 @@ the smaller leaf id. Empty table: empty.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,37 +104,45 @@ def _messages(df: DataFrame, tree: str, node: str, parent: str, role: str, text:
     )
 
 
-def _reaches(nodes: DataFrame) -> list[DataFrame]:
-    """Round k: ``me``, its ancestor ``up`` 2**k steps away (null beyond the root), and of the messages
-    from ``me`` to before ``up`` the uppermost (``top``), the number ``n`` and the ``points``."""
+def _reaches(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Tables of the rounds, and every message as the last round left it.
+
+    Round k: ``me``, its ancestor ``up`` 2**k steps away (null beyond the root), and of the messages
+    from ``me`` to before ``up`` the uppermost (``top``), the number ``n`` and the ``points``. A tree
+    whose messages are all at their root takes no part in further rounds.
+    """
     known = nodes.select(F.col("me").alias("there"))
     first = nodes.join(known, nodes.up == known.there, "left").select(
         "me", F.col("there").alias("up"), F.col("me").alias("top"), F.lit(1).cast("long").alias("n"), "points"
     )
-    rounds = [C.written(first, "reach")]
+    rounds, settled = [C.written(first, "reach")], []
     most = max(1, rounds[0].count()).bit_length()
-    while len(rounds) <= most and rounds[-1].where("up IS NOT NULL").limit(1).count():
-        # messages whose root is reached are done; only the others look further up
-        near, done = rounds[-1].where("up IS NOT NULL"), rounds[-1].where("up IS NULL")
-        far = rounds[-1].select([F.col(c).alias(f"far_{c}") for c in near.columns])
-        further = near.join(far, near.up == far.far_me).select(
+    while len(rounds) <= most:
+        here = rounds[-1]
+        near = here.where("up IS NOT NULL")
+        if not near.limit(1).count():
+            break
+        trees = near.select(F.col("me.tree").alias("tree")).distinct()
+        same = F.col("me.tree").eqNullSafe(F.col("tree"))
+        settled.append(here.join(trees, same, "left_anti"))
+        live = here.join(trees, same, "left_semi")
+        far = live.select([F.col(c).alias(f"far_{c}") for c in here.columns])
+        further = near.join(far, F.col("up") == F.col("far_me")).select(
             "me",
             F.col("far_up").alias("up"),
             F.col("far_top").alias("top"),
             (F.col("n") + F.col("far_n")).alias("n"),
             (F.col("points") + F.col("far_points")).alias("points"),
         )
-        rounds.append(C.written(further.union(done), "reach"))
-    return rounds
+        rounds.append(C.written(further.union(live.where("up IS NULL")), "reach"))
+    return rounds, reduce(DataFrame.union, settled, rounds[-1])
 
 
-def branch_members(
-    nodes: DataFrame, branches: int
-) -> DataFrame:
+def branch_members(nodes: DataFrame, branches: int) -> DataFrame:
     """``path`` (its leaf), ``rank`` of the path in its tree, ``place`` from 1 at the root, ``me``."""
-    rounds = _reaches(nodes)
+    rounds, ends = _reaches(nodes)
     answered = rounds[0].where("up IS NOT NULL").select(F.col("up").alias("asked"))
-    leaves = rounds[-1].where("up IS NULL").join(answered, F.col("me") == F.col("asked"), "left_anti")
+    leaves = ends.where("up IS NULL").join(answered, F.col("me") == F.col("asked"), "left_anti")
     order = Window.partitionBy("top").orderBy(F.desc("points"), F.desc("n"), "me")
     chosen = leaves.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= branches)
     members = C.written(
