@@ -11,9 +11,11 @@ from lendmill.operators.history import latest_per_key, scd2_step
 from lendmill.operators.relations import union_all
 from lendmill.plans.marts import mart_customer_360, mart_loan_performance
 from lendmill.schemas import RAW_TABLES
-from lendmill.sources.bronze import read_bronze
+from lendmill.sources.bronze import load_names, read_bronze
 from lendmill.sources.warehouse import (
+    current_run,
     publish_versions,
+    read_table,
     read_versions,
     register_view,
     target_path,
@@ -46,11 +48,28 @@ def staged_tables(raw: dict[str, DataFrame], as_of=None) -> dict[str, DataFrame]
     }
 
 
-def snapshot_customers(raw_customers: DataFrame, root: str, at) -> DataFrame:
+def newest_customers(spark: SparkSession, root: str) -> DataFrame:
+    """The newest row of each customer, kept as a table: a run reads that and the loads that
+    came since, not all loads again. A load read twice, after a failure, changes nothing."""
+    raw = target_path(root, "raw_customers", "bronze")
+    kept = target_path(root, "customers_newest", "silver")
+    read = target_path(root, "customers_loads", "silver")
+    every = load_names(spark, raw)
+    loads, known = every, []
+    if current_run(spark, read):
+        done = {r["load"] for r in read_table(spark, read).collect()}  # a row per load
+        loads, known = [x for x in every if x not in done], [read_table(spark, kept)]
+    columns = [*HISTORY_COLUMNS, "_loaded_at"]
+    rows = read_bronze(spark, raw, loads).select(*columns).filter(F.col(HISTORY_KEY).isNotNull())
+    newest = latest_per_key(union_all([*known, rows]), HISTORY_KEY, "updated_at", "_loaded_at")
+    newest = write_table(newest, kept)
+    write_table(spark.createDataFrame([(x,) for x in every], "load string"), read)
+    return newest
+
+
+def snapshot_customers(spark: SparkSession, root: str, at) -> DataFrame:
     """Bring the customer history up to date; one row per customer goes in."""
-    rows = raw_customers.filter(F.col(HISTORY_KEY).isNotNull())
-    source = latest_per_key(rows, HISTORY_KEY, "updated_at", "_loaded_at").select(*HISTORY_COLUMNS)
-    spark = raw_customers.sparkSession
+    source = newest_customers(spark, root).select(*HISTORY_COLUMNS)
     path = target_path(root, "dim_customers_scd2", "silver")
     known = read_versions(spark, path, closed=False)
     publish_versions(scd2_step(known, source, HISTORY_KEY, HISTORY_CHECKED, at), path)
@@ -64,7 +83,7 @@ def daily_refresh(spark: SparkSession, landing: str, root: str, as_of) -> DataFr
     """
     ingest_bronze(spark, landing, f"{root}/bronze")
     raw = {name: read_bronze(spark, target_path(root, name, "bronze")) for name in RAW_TABLES}
-    history = snapshot_customers(raw["raw_customers"], root, as_of)
+    history = snapshot_customers(spark, root, as_of)
     # a loan delivered again replaces what was known of it
     newest = latest_per_key(raw["raw_loans"], "loan_id", "updated_at", "_loaded_at")
     staged = staged_tables(raw | {"raw_loans": newest}, as_of)

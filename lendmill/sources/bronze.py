@@ -119,20 +119,30 @@ def to_bronze(landed: DataFrame, path: str, load: str | None = None) -> None:
     note.write.mode("overwrite").text(f"{path}/_columns/{load}")
 
 
-def _read_loads(spark: SparkSession, path: str) -> DataFrame:
-    """All loads with the columns of all, known ones first."""
+def _read_loads(spark: SparkSession, path: str, loads: list[str] | None = None) -> DataFrame:
+    """Loads with the columns of all, known ones first. Folders of other loads are not opened."""
     noted = [r["value"] for r in spark.read.text(f"{path}/_columns/*").distinct().collect()]
     schemas = sorted((T.StructType.fromJson(json.loads(s)) for s in noted), key=len)
     fields = {}
     for field in (f for s in schemas for f in s):
         fields.setdefault(field.name, field)
     schema = T.StructType([*fields.values(), T.StructField(LOAD, T.StringType())])
-    return spark.read.schema(schema).parquet(path).drop(LOAD)
+    rows = spark.read.schema(schema).parquet(path)
+    if loads is not None:
+        rows = rows.filter(F.col(LOAD).isin(loads))
+    return rows.drop(LOAD)
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Good rows of all loads; columns added by later loads are NULL in older rows."""
-    return good_rows(_read_loads(spark, path))
+def load_names(spark: SparkSession, path: str) -> list[str]:
+    """The loads of a raw table, in order of name."""
+    name = F.regexp_extract("_metadata.file_path", "/_columns/([^/]+)/", 1).alias("load")
+    noted = spark.read.text(f"{path}/_columns/*").select(name).distinct()
+    return sorted(r["load"] for r in noted.collect())  # a row per load
+
+
+def read_bronze(spark: SparkSession, path: str, loads: list[str] | None = None) -> DataFrame:
+    """Good rows of all loads, or of some; columns added by later loads are NULL in older rows."""
+    return good_rows(_read_loads(spark, path, loads))
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:

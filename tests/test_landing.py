@@ -223,3 +223,22 @@ def test_a_day_and_its_rerun(spark, tmp_path):
     assert run("2026-01-02") == first
     history = WH.read_versions(spark, f"{root}/silver/dim_customers_scd2")
     assert history.count() == 5 and history.filter("is_current").count() == 5
+
+
+def test_the_next_day_reads_new_loads_only(spark, tmp_path, monkeypatch):
+    from lendmill.plans import daily_refresh as D
+
+    landing, root = tmp_path / "landing", str(tmp_path / "house")
+    _land_day(landing, 700)
+    daily_refresh(spark, str(landing), root, "2026-01-02").collect()
+    asked = []
+    monkeypatch.setattr(D, "read_bronze", lambda s, p, loads=None: asked.append(loads) or bronze.read_bronze(s, p, loads))
+    customers = (landing / "customers.csv").read_text().splitlines()
+    later = [customers[0]] + [x.replace(",700,", ",650,").replace("2026-01-01", "2026-01-05") for x in customers[1:3]]
+    stale = customers[3].replace(",700,", ",300,").replace("2026-01-01", "2025-01-01")
+    (landing / "customers.csv.2").write_text("\n".join([*later, stale]) + "\n")
+    daily_refresh(spark, str(landing), root, "2026-01-06").collect()
+    assert len([x for x in asked if x is not None][0]) == 1
+    history = WH.read_versions(spark, f"{root}/silver/dim_customers_scd2")
+    assert history.filter("is_current").count() == 5 and history.count() == 7
+    assert rows(history.filter("is_current and credit_score = 650").select("customer_id")) == [("C0",), ("C1",)]
