@@ -181,7 +181,6 @@ def _slow(encoder, text, sections, rule):
     raw, at, count, cross = text.encode(), 0, [0.0] * len(sections), [0] * len(sections)
     for i in encoder._encoding.encode_ordinary(text):
         n = int(encoder.lengths[i])
-        own = {len(raw[: b + 1].decode("utf-8", "ignore")) if raw[b] < 128 else None for b in range(at, at + n)}
         chars = []
         for b in range(at, at + n):
             lead = b
