@@ -220,7 +220,8 @@ def estimate(votes: DataFrame, rules: list[str]) -> Model:
     The counts of vote patterns, at most 3**rules rows, come to the driver.
     """
     counted = votes.groupBy(*[f"v_{r}" for r in rules]).agg(F.count(F.lit(1)).alias("n"))
-    patterns = [({r: row[f"v_{r}"] for r in rules}, row["n"]) for row in counted.collect()]
+    rows = sorted(tuple(r) for r in counted.collect())  # one order, so that reruns agree to the bit
+    patterns = [(dict(zip(rules, row[:-1], strict=True)), row[-1]) for row in rows]
     model = start_model(rules)
     for _ in range(ROUNDS):
         model, change = improved(model, patterns)
