@@ -39,11 +39,13 @@ KEEP_FROM = 0.5
 ROUNDS = 40
 STILL = 1e-5
 
-#: Weight of what is believed beforehand: of bad classes in texts, and of the good class
-#: as a share of all texts. The latter is what tells a bad kind that only one rule sees
-#: from a rule that is often wrong on good texts; votes alone cannot.
+#: Weight of what is believed beforehand about every class, in texts, however many there are.
 PRIOR_COUNT = 10.0
-GOOD_PRIOR = 1.0
+
+#: No kind of junk is believed to hold a larger share of all texts. This is what tells a
+#: kind that only one rule sees from a rule that is often wrong on good texts, which votes
+#: alone cannot: what goes beyond it is the rule's error, unless other rules speak up too.
+KIND_MOST = 0.1
 
 
 # ---- measures -----------------------------------------------------------------
@@ -155,8 +157,8 @@ _GOOD_SHARE = 0.8
 _ON_GOOD = {GOOD: 0.800, ABSTAIN: 0.195, BAD: 0.005}
 _ON_OWN_KIND = {GOOD: 0.02, ABSTAIN: 0.03, BAD: 0.95}
 
-#: In a rule's own bad class it votes bad at least this often: that is what makes the kind.
-_OWN_LEAST = 0.95
+#: In a rule's own bad class it votes bad more often than not: that is what makes the kind.
+_OWN_LEAST = 0.5
 
 
 def start_model(rules: list[str]) -> Model:
@@ -174,7 +176,6 @@ def improved(model: Model, patterns: list[tuple[dict[str, int], int]]) -> tuple[
     """
     start = start_model([c for c in model.share if c != "good"])
     total = {c: PRIOR_COUNT * start.share[c] for c in model.share}
-    belief = GOOD_PRIOR * sum(n for _, n in patterns)
     # what a rule says of another rule's kind is taken to be what it says of good texts
     sums = {
         c: {
@@ -195,16 +196,15 @@ def improved(model: Model, patterns: list[tuple[dict[str, int], int]]) -> tuple[
                 sums[c][r][v] += n * w / whole
     all_texts = sum(total.values())
     share = {c: max(t / all_texts, 1e-12) for c, t in total.items()}
+    kinds = {c: min(x, KIND_MOST) for c, x in share.items() if c != "good"}
+    share = kinds | {"good": share["good"] + sum(share[c] - x for c, x in kinds.items())}
     found = {}
     for c, rules in sums.items():
         found[c] = {}
         for r, own in rules.items():
             p = {v: min(max(x / sum(own.values()), 1e-9), 1 - 1e-9) for v, x in own.items()}
             bad = p[BAD]
-            if c == "good":  # as if that many more good texts had been seen
-                seen = sum(own.values())
-                bad = (bad * seen + _ON_GOOD[BAD] * belief) / (seen + belief)
-            elif c == r:
+            if c == r:
                 bad = max(bad, _OWN_LEAST)
             rest = (1 - bad) / (1 - p[BAD])
             found[c][r] = {v: bad if v == BAD else x * rest for v, x in p.items()}
