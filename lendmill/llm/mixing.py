@@ -10,18 +10,19 @@ into its target, and fills the rest exactly, or as nearly as its lengths allow:
    source's lengths.
 3. What is still missing is filled from the longest lengths down to a bounded rest,
    and that rest by a bounded-knapsack dynamic programme over lengths and counts.
-4. Per length the texts with the smallest seeded draws are taken.
+4. Per length the texts with the smallest seeded draws are taken; equal rows, which share
+   a draw, by the numbers they got when the draws were written.
 
 How it runs: lengths and draws are computed once and written. Counts are kept per
 source, length and 1/``SPREAD`` of the draws, so a length shared by a third of all
 texts is ranked in many tasks. Only a threshold per (source, length, slice) joins
-back, so a text's fate depends on nothing but its own draw. A source's counts, one
+back, so a text's fate depends on nothing but its own draw and number. A source's counts, one
 row per distinct length, are fitted in one task: n words have at most sqrt(2n)
 distinct lengths. Sources, one row each, are put in order in one task.
 
 Defined results: null or empty text has size 0 and is taken as often as its source's
 whole copies. Sources in code-point order, null last. A source of size 0 has target
-0. Equal rows share their draw: they are taken alike. Empty table: empty.
+0. Of equal rows as many are taken as it takes, whichever. Empty table: empty.
 """
 
 from __future__ import annotations
@@ -149,9 +150,10 @@ def _fit_source(counted: pd.DataFrame) -> pd.DataFrame:
 
 
 def mix_plan(sized: DataFrame, targets: DataFrame) -> DataFrame:
-    """For each source, size and slice of draws: ``copies`` and the draw up to which one more is taken.
+    """For each source, size and slice of draws: ``copies`` and the draw, and the number among equal
+    draws, up to which one more is taken.
 
-    ``sized`` has source, size, draw and slice for every text.
+    ``sized`` has source, size, draw, slice and number for every text.
     """
     slices = C.written(
         sized.groupBy("source", "size", "slice").agg(F.count(F.lit(1)).alias("n")), "mix-counts"
@@ -184,7 +186,7 @@ def mix_plan(sized: DataFrame, targets: DataFrame) -> DataFrame:
     some = plan.where((F.col("pick") > 0) & (F.col("pick") < F.col("n"))).select(
         F.col("source").alias("s_source"), F.col("size").alias("s_size"), F.col("slice").alias("s_slice"), "pick"
     )
-    rank = Window.partitionBy("source", "size", "slice").orderBy("draw")
+    rank = Window.partitionBy("source", "size", "slice").orderBy("draw", "number")
     edge = (
         sized.join(
             some,
@@ -194,7 +196,7 @@ def mix_plan(sized: DataFrame, targets: DataFrame) -> DataFrame:
         )
         .withColumn("rank", F.row_number().over(rank))
         .where(F.col("rank") == F.col("pick"))
-        .select("s_source", "s_size", "s_slice", F.col("draw").alias("edge"))
+        .select("s_source", "s_size", "s_slice", F.col("draw").alias("edge"), F.col("number").alias("edge_number"))
     )
     return plan.join(
         edge,
@@ -211,6 +213,7 @@ def mix_plan(sized: DataFrame, targets: DataFrame) -> DataFrame:
         .when(F.col("pick") == F.col("n"), F.lit((1 << 63) - 1))
         .otherwise(F.col("edge"))
         .alias("edge"),
+        F.coalesce(F.col("edge_number"), F.lit((1 << 63) - 1)).alias("edge_number"),
     )
 
 
@@ -237,8 +240,8 @@ def mix(
     )
     if not keep_text:
         inner = inner.drop(t)
-    sized = C.written(inner, "mix-sized")
-    narrow = sized.select("source", "size", "draw", "slice")
+    sized = C.written(inner.withColumn("number", F.monotonically_increasing_id()), "mix-sized")
+    narrow = sized.select("source", "size", "draw", "slice", "number")
     targets = C.written(
         source_targets(
             narrow.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most_times
@@ -253,6 +256,7 @@ def mix(
         F.col("slice").alias("p_slice"),
         "copies",
         "edge",
+        "edge_number",
         "source_size",
         "target",
     )
@@ -262,7 +266,10 @@ def mix(
         & (F.col("size") == F.col("p_size"))
         & (F.col("slice") == F.col("p_slice")),
     )
-    times = F.col("copies") + F.coalesce((F.col("draw") <= F.col("edge")).cast("long"), F.lit(0))
+    more = (F.col("draw") < F.col("edge")) | (
+        (F.col("draw") == F.col("edge")) & (F.col("number") <= F.col("edge_number"))
+    )
+    times = F.col("copies") + F.coalesce(more.cast("long"), F.lit(0))
     taken = taken.withColumn("times", times).withColumn("taken", F.col("times") * F.col("size"))
     order = [i for i, n in enumerate(docs.columns) if keep_text or n != text]
     taken = taken.select(
