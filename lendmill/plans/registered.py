@@ -987,7 +987,7 @@ def ml_leakage(spark, d):
 
 def _model(spark, d):
     train, test = ml.split(_features(spark, d), "customer_id")
-    return ml.train(train, rounds=5, depth=3), test
+    return ml.train(train), test
 
 
 @query()
@@ -1019,7 +1019,7 @@ def ml_scores_in_range(spark, d):
     shared_dir(spark)
     rows = _features(spark, d).checkpoint()
     train, _ = ml.split(rows, "customer_id")
-    model, path = ml.train(train, rounds=5, depth=3), fresh_path(spark, "model")
+    model, path = ml.train(train), fresh_path(spark, "model")
     ml.save(spark, model, path, "v1", {})
     again = ml.score(ml.load(path, "v1"), rows).withColumnRenamed("predicted_default_probability", "again")
     p = F.col("predicted_default_probability")
