@@ -85,7 +85,12 @@ def op5_mixing_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    """Near copies, not only equal texts, are kept out of a bin."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = docs.withColumn("near", F.xxhash64("doc_id", "text"))  # a repeated doc_id is no key
+    near = simhash_components(docs, "near", "text").select("near", "component_id").dropDuplicates(["near"])
+    docs = docs.join(near, "near", "left").drop("near")
+    return pack(docs, cluster="component_id").drop("component_id")
 
 
 @query(r"""
