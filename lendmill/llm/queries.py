@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lendmill.llm.ann_tree import nearest_neighbours
 from lendmill.llm.chat import conversations, digests
 from lendmill.llm.columns import table
+from lendmill.llm.merkle import fold, manifest, path_digest, row_digest
 from lendmill.llm.mixing import mix
 from lendmill.llm.packing import pack
 from lendmill.llm.quality_rules import judge
@@ -193,3 +194,82 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query(r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS tag, doc_id, source, lang, n_chars, text,
+         list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+                                  list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))),
+           lambda c, byte: list_reduce(list_prepend(xor(c, byte), range(8)),
+             lambda r, bit: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)) AS crc
+  FROM documents
+), said AS (
+  SELECT tag, doc_id, source, text,
+         CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS bent,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS front
+  FROM docs
+), leaves AS (
+  SELECT tag, doc_id, source, sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(front || coalesce(strlen(bent) || ':' || bent, '-')) AS bent_leaf
+  FROM said
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, tag) - 1 AS i,
+         count(*) OVER (PARTITION BY source) AS n
+  FROM leaves
+), nodes AS (
+  SELECT 0 AS level, g, i, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT any_value(level) + 1, g, i // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY i))
+  FROM nodes WHERE n > 1 GROUP BY g, i // 3
+), subroots AS (
+  SELECT g, h, level FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, g AS i, (SELECT count(*) FROM subroots) AS n, h FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, i // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY i))
+  FROM tops WHERE n > 1 GROUP BY i // 3
+), siblings AS (
+  SELECT a.level, a.g, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after
+  FROM nodes a JOIN nodes b ON a.level = b.level AND a.g = b.g AND a.i // 3 = b.i // 3
+  WHERE a.n > 1 GROUP BY ALL
+), top_siblings AS (
+  SELECT a.level, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after
+  FROM tops a JOIN tops b ON a.level = b.level AND a.i // 3 = b.i // 3
+  WHERE a.n > 1 GROUP BY ALL
+), inside AS (
+  SELECT tag, 0 AS level, g, i, bent_leaf AS own, '' AS proof FROM placed
+  UNION ALL
+  SELECT f.tag, f.level + 1, f.g, f.i // 3, sha256(s.before || f.own || s.after), f.proof || s.before || s.after
+  FROM inside f JOIN siblings s ON f.level = s.level AND f.g = s.g AND f.i = s.i
+), over AS (
+  SELECT f.tag, 0 AS level, f.g AS i, f.own, f.proof FROM inside f JOIN subroots r ON f.g = r.g AND f.level = r.level
+  UNION ALL
+  SELECT f.tag, f.level + 1, f.i // 3, sha256(s.before || f.own || s.after), f.proof || s.before || s.after
+  FROM over f JOIN top_siblings s ON f.level = s.level AND f.i = s.i
+), top AS (
+  SELECT level, h FROM tops WHERE n = 1
+)
+SELECT p.doc_id, p.leaf, r.h AS subroot, top.h AS root, sha256(f.proof) AS proof_sha256, f.own AS folded_root,
+       f.own = top.h AS verified
+FROM placed p JOIN subroots r ON p.g = r.g JOIN over f ON p.tag = f.tag JOIN top ON f.level = top.level
+""")
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree over runs of three per source; half the rows are checked with their line breaks gone."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    before = ("doc_id", "source", "lang", "n_chars")
+    leaves = docs.select(
+        "doc_id", "source", row_digest(*before, "text").alias("leaf"), row_digest(*before, text).alias("tampered")
+    )
+    found = manifest(leaves, "leaf", "source", "doc_id")
+    folded = fold(F.col("tampered"), F.col("path"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", path_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
