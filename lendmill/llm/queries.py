@@ -13,6 +13,7 @@ from lendmill.llm.columns import table
 from lendmill.llm.merkle import fold, manifest, path_digest, row_digest
 from lendmill.llm.mixing import mix
 from lendmill.llm.packing import pack
+from lendmill.llm.pivot_search import top_inner_products
 from lendmill.llm.quality_rules import judge
 from lendmill.llm.sharding import place
 from lendmill.llm.simhash import hex_fingerprint, simhash_components
@@ -273,3 +274,23 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "leaf", "subroot", "root", path_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root")
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query(r"""
+WITH vectors AS (
+  SELECT row_number() OVER () AS tag, vec_id,
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, q.tag, v.vec_id, CAST(list_inner_product(q.x, v.x) AS BIGINT) AS score
+  FROM vectors q JOIN vectors v ON q.tag <> v.tag WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY tag ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 5
+""")
+def op12_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_inner_products(vectors, F.col("vec_id") % 50 == 0)
