@@ -20,6 +20,7 @@ from lendmill.llm.simhash import hex_fingerprint, simhash_components
 from lendmill.llm.substring_dedup import substring_dedup
 from lendmill.llm.token_counts import count_tokens
 from lendmill.llm.url_filter import ALLOW, BLOCK, filter_urls
+from lendmill.llm.whitening import fit, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -294,3 +295,26 @@ SELECT * FROM ranked WHERE rank <= 5
 def op12_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return top_inner_products(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per vector and component."""
+    vectors = table(spark, sf_dir, "embeddings")
+    whole_numbers = whole("embedding", 64, 1_000_000)
+    rows = vectors.select("vec_id", whole_numbers.alias("x")).where("x IS NOT NULL")
+    fitted = fit(rows, "x")
+    if fitted is None:
+        kinds = "component int, n long, deviation long, whitened double, explained double, identity_error double"
+        return spark.createDataFrame([], f"vec_id {vectors.schema['vec_id'].dataType.simpleString()}, {kinds}")
+    shares = F.array(*[F.lit(float(e / fitted.trace)) for e in fitted.eigenvalues])
+    each = fitted.transform(rows, "x").select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(fitted.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, "at").cast("double").alias("explained"),
+        F.lit(fitted.identity_error).alias("identity_error"),
+    )
