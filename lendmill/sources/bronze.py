@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from lendmill.fixed_values import NULL_TOKENS
 from lendmill.sources.files import LINE
+from lendmill.sources.ledger import FILE, REPLACED, read_ledger, superseded
 
 # Columns the load adds beside the schema's own.
 QUARANTINED = "_quarantined"
@@ -69,8 +70,10 @@ def land_rows(df: DataFrame, schema: T.StructType, loaded_at: Column | None = No
     """
     kinds = {f.name: f.dataType for f in schema}
     torn = F.col(LINE).isNotNull() if LINE in df.columns else F.lit(False)
-    columns = [c for c in df.columns if c != LINE]
-    cleaned = clean_tokens(df.withColumn(RAW_TOKENS, F.to_json(F.struct(*df.columns), KEEP_NULLS)))
+    columns = [c for c in df.columns if c not in (LINE, FILE)]
+    tokens = F.struct(*[c for c in df.columns if c != FILE])
+    file = F.col(FILE) if FILE in df.columns else F.lit(None).cast("string")
+    cleaned = clean_tokens(df.withColumn(FILE, file).withColumn(RAW_TOKENS, F.to_json(tokens, KEEP_NULLS)))
     typed = {c: convert_token(F.col(c), kinds.get(c, T.StringType())) for c in columns}
     offending = [
         F.when(F.col(c).isNotNull() & typed[c].isNull(), F.lit(c))
@@ -88,11 +91,12 @@ def land_rows(df: DataFrame, schema: T.StructType, loaded_at: Column | None = No
         is_bad.cast("int").alias(QUARANTINED),
         F.when(is_bad, F.col(BAD_COLUMNS)).alias(BAD_COLUMNS),
         F.when(is_bad, F.col(RAW_TOKENS)).alias(RAW_TOKENS),
+        FILE,
     )
 
 
 def good_rows(landed: DataFrame) -> DataFrame:
-    return landed.filter(F.col(QUARANTINED) == 0).drop(*PARTITIONS, BAD_COLUMNS, RAW_TOKENS)
+    return landed.filter(F.col(QUARANTINED) == 0).drop(*PARTITIONS, BAD_COLUMNS, RAW_TOKENS, FILE)
 
 
 def rejected_rows(landed: DataFrame) -> DataFrame:
@@ -119,25 +123,70 @@ def to_bronze(landed: DataFrame, path: str, load: str | None = None) -> None:
     note.write.mode("overwrite").text(f"{path}/_columns/{load}")
 
 
-def _read_loads(spark: SparkSession, path: str, loads: list[str] | None = None) -> DataFrame:
-    """Loads with the columns of all, known ones first. Folders of other loads are not opened."""
-    noted = [r["value"] for r in spark.read.text(f"{path}/_columns/*").distinct().collect()]
-    schemas = sorted((T.StructType.fromJson(json.loads(s)) for s in noted), key=len)
+def _notes(spark: SparkSession, path: str) -> DataFrame:
+    """``load`` and the schema it was written with."""
+    name = F.regexp_extract("_metadata.file_path", "/_columns/([^/]+)/", 1).alias("load")
+    return spark.read.text(f"{path}/_columns/*").select(name, "value").distinct()
+
+
+def _stored(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """Rows of all load folders with the columns of all, known ones first; and the loads."""
+    noted = _notes(spark, path).collect()  # a row per load
+    schemas = sorted((T.StructType.fromJson(json.loads(s)) for s in {r["value"] for r in noted}), key=len)
     fields = {}
     for field in (f for s in schemas for f in s):
         fields.setdefault(field.name, field)
+    fields.setdefault(FILE, T.StructField(FILE, T.StringType()))
     schema = T.StructType([*fields.values(), T.StructField(LOAD, T.StringType())])
-    rows = spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path), [r["load"] for r in noted]
+
+
+def _entered(ledger: DataFrame) -> set[str]:
+    """Loads of replaced files that count."""
+    loads = ledger.filter(F.col("load").startswith(REPLACED)).select("load").distinct()
+    return {r["load"] for r in loads.collect()}
+
+
+def _waiting(load: str, entered: set[str]) -> bool:
+    return load.startswith(REPLACED) and load not in entered
+
+
+def _read_loads(spark: SparkSession, path: str, loads: list[str] | None = None) -> DataFrame:
+    """Rows that count, of all loads or of some; folders of other loads are not opened.
+
+    Rows of a file that was replaced since do not count, nor does a load of replaced files
+    before its entry in the ledger. Only loads that read such a file are looked at row by row.
+    """
+    rows, every = _stored(spark, path)
     if loads is not None:
         rows = rows.filter(F.col(LOAD).isin(loads))
+    ledger = read_ledger(spark, path)
+    entered = _entered(ledger)
+    waiting = [x for x in every if _waiting(x, entered)]
+    if waiting:
+        rows = rows.filter(~F.col(LOAD).isin(waiting))
+    if entered:
+        old = superseded(ledger)
+        touched = [r["load"] for r in old.select("load").distinct().collect()]  # a row per load
+        same = (F.col(LOAD) == F.col("load")) & (F.col(FILE) == F.col("file"))
+        left = rows.filter(F.col(LOAD).isin(touched)).join(old, same, "left_anti")
+        rows = rows.filter(~F.col(LOAD).isin(touched)).unionByName(left)
     return rows.drop(LOAD)
 
 
+def read_retracted(spark: SparkSession, path: str, pairs: DataFrame) -> DataFrame:
+    """Good rows, no longer counted, of (load, file) ``pairs``."""
+    loads = [r["load"] for r in pairs.select("load").distinct().collect()]  # a row per load
+    same = (F.col(LOAD) == F.col("load")) & (F.col(FILE) == F.col("file"))
+    rows = _stored(spark, path)[0].filter(F.col(LOAD).isin(loads)).join(pairs, same, "left_semi")
+    return good_rows(rows.drop(LOAD))
+
+
 def load_names(spark: SparkSession, path: str) -> list[str]:
-    """The loads of a raw table, in order of name."""
-    name = F.regexp_extract("_metadata.file_path", "/_columns/([^/]+)/", 1).alias("load")
-    noted = spark.read.text(f"{path}/_columns/*").select(name).distinct()
-    return sorted(r["load"] for r in noted.collect())  # a row per load
+    """The loads of a raw table that count, in order of name."""
+    entered = _entered(read_ledger(spark, path))
+    noted = _notes(spark, path).select("load").distinct().collect()  # a row per load
+    return sorted(r["load"] for r in noted if not _waiting(r["load"], entered))
 
 
 def read_bronze(spark: SparkSession, path: str, loads: list[str] | None = None) -> DataFrame:

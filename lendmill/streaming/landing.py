@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lendmill.schemas import DRIFT_DELIVERIES, RAW_TABLES
 from lendmill.sources.bronze import append_evolving, land_rows, to_bronze
 from lendmill.sources.files import CSV_OPTIONS, read_csv_by_name, read_csv_positional
+from lendmill.sources.ledger import FILE, REPLACED, changed_files, listing, note_files, read_ledger
 
 #: A file counts however old it is: what was loaded is remembered by name.
 NO_AGE = "1000000d"
@@ -33,20 +37,24 @@ def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path).columns)
 
 
+def _with_file(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(FILE, F.col("_metadata.file_path"))
+
+
 def read_delivered(
     spark: SparkSession, paths: list[str], delivery: Delivery, multi_line: bool = True
 ) -> DataFrame:
-    """Text rows of some files. By name, files are read per header, so that each file's columns
-    go where its own header says."""
+    """Text rows of some files, each with the file it came from. By name, files are read per
+    header, so that each file's columns go where its own header says."""
     if not delivery.by_name:
-        return read_csv_positional(spark, paths, delivery.schema, multi_line)
+        return _with_file(read_csv_positional(spark, paths, delivery.schema, multi_line))
     with ThreadPoolExecutor(16) as pool:  # a header is the first line of its file
         headers = list(pool.map(lambda p: header_of(spark, p), paths))
     groups = defaultdict(list)
     for header, path in zip(headers, paths, strict=True):
         groups[header].append(path)
     read = [
-        read_csv_by_name(spark, own, delivery.schema, evolve=True, multi_line=multi_line)
+        _with_file(read_csv_by_name(spark, own, delivery.schema, evolve=True, multi_line=multi_line))
         for _, own in sorted(groups.items())
     ]
     return reduce(append_evolving, read)
@@ -71,40 +79,81 @@ def start_load(
     once; its good and its rejected rows go to different folders of the load.
     """
     delivery = Delivery(landed, schema, by_name)
-    listed = T.StructType(
-        [
-            T.StructField("path", T.StringType()),
-            T.StructField("modificationTime", T.TimestampType()),
-            T.StructField("length", T.LongType()),
-            T.StructField("content", T.BinaryType()),
-        ]
-    )
-    found = (
-        spark.readStream.format("binaryFile")
-        .schema(listed)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("maxFileAge", NO_AGE)
-        .load(landed)
-        .select("path", "length")
-    )
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", NO_AGE)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        paths = sorted(r["path"] for r in batch.filter("length > 0").collect())  # files_per_batch at most
-        if not paths:
-            return
-        stream = json.loads(session.read.text(f"{state}/metadata").first()[0])["id"]
-        rows = read_delivered(session, paths, delivery, multi_line)
-        to_bronze(land_rows(rows, schema), out, f"{stream}-{batch_id}")
+        files = batch.collect()  # files_per_batch at most
+        if files:
+            stream = json.loads(session.read.text(f"{state}/metadata").first()[0])["id"]
+            _load_files(session, files, batch.schema, delivery, out, f"{stream}-{batch_id}", multi_line)
 
     return (
-        found.writeStream.foreachBatch(load)
+        listing(reader, landed)
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", state)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def _load_files(
+    spark: SparkSession,
+    files: list,
+    kind: T.StructType,
+    delivery: Delivery,
+    out: str,
+    load: str,
+    multi_line: bool,
+) -> None:
+    """Some listed files as one load of ``out``, and their entry in its ledger."""
+    rows = read_delivered(spark, sorted(f["path"] for f in files), delivery, multi_line)
+    to_bronze(land_rows(rows, delivery.schema), out, load)
+    note_files(spark.createDataFrame(files, kind), out, load)
+
+
+def reload_replaced(
+    spark: SparkSession,
+    landed: str,
+    schema: T.StructType,
+    out: str,
+    files_per_batch: int = 1000,
+    by_name: bool = False,
+    multi_line: bool = True,
+) -> int:
+    """Load the files again that changed under their names since they were loaded; how many did.
+
+    The ledger of the raw table knows the size and time each file was loaded with. What
+    an earlier load read from a file that is loaded again no longer counts, in the moment
+    the new load's files are entered; a file with nothing but its header leaves no rows.
+    Spark does not list files of no bytes: those count as not there, and the old rows stay.
+    """
+    delivery, reloaded = Delivery(landed, schema, by_name), 0
+    while True:
+        try:
+            listed = listing(spark.read, landed)
+        except AnalysisException as error:  # nothing landed under these names yet
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return reloaded
+        changed = changed_files(listed, read_ledger(spark, out))
+        files = changed.orderBy("file").limit(files_per_batch).collect()
+        if not files:
+            return reloaded
+        named = "\n".join(f"{f['file']} {f['length']} {f['modified_at']}" for f in files)
+        load = REPLACED + hashlib.sha256(named.encode()).hexdigest()[:32]
+        _load_files(spark, files, changed.schema, delivery, out, load, multi_line)
+        reloaded += len(files)
+
+
+def load_landed(
+    spark: SparkSession, landed: str, schema: T.StructType, out: str, state: str, **how
+) -> int:
+    """New files once, then those replaced under their names; waits, and returns how many those were."""
+    start_load(spark, landed, schema, out, state, **how).awaitTermination()
+    return reload_replaced(spark, landed, schema, out, **how)
+
+
 def ingest_bronze(
     spark: SparkSession,
     landing: str,
@@ -115,17 +164,20 @@ def ingest_bronze(
     """Load all raw tables; the loads run side by side and the call waits for all.
 
     A landed name is a file, a folder of files, or a prefix of both: deliveries
-    such as ``loans.csv`` and ``loans.csv.2026-06-02`` are told apart by name.
+    such as ``loans.csv`` and ``loans.csv.2026-06-02`` are told apart by name. A file
+    replaced under its name is loaded again, and its old rows no longer count.
     ``drift`` names further deliveries per table, read by header name: columns in
     any order, missing ones NULL, new ones kept.
     """
     drift = DRIFT_DELIVERIES if drift is None and tables is None else drift or {}
-    queries = []
+    loads = []
     for name, (file, schema) in (tables or RAW_TABLES).items():
         path, state = f"{out}/{name}", f"{out}/_state/{name}"
-        queries.append(start_load(spark, f"{landing}/{file}*", schema, path, state))
+        loads.append(((spark, f"{landing}/{file}*", schema, path), state, {}))
         for extra in drift.get(name, ()):
             more = f"{state}-{extra.split('.')[0]}"
-            queries.append(start_load(spark, f"{landing}/{extra}*", schema, path, more, by_name=True))
-    for query in queries:
+            loads.append(((spark, f"{landing}/{extra}*", schema, path), more, {"by_name": True}))
+    for query in [start_load(*where, state, **how) for where, state, how in loads]:
         query.awaitTermination()
+    with ThreadPoolExecutor(len(loads)) as pool:
+        list(pool.map(lambda load: reload_replaced(*load[0], **load[2]), loads))

@@ -13,7 +13,9 @@ from lendmill import schemas
 from lendmill.plans.daily_refresh import daily_refresh
 from lendmill.sources import bronze, files
 from lendmill.sources import warehouse as WH
-from lendmill.streaming.landing import ingest_bronze, start_load
+from lendmill.sources import ledger as LG
+from lendmill.streaming import landing as LD
+from lendmill.streaming.landing import ingest_bronze, load_landed, start_load
 
 SCHEMA = T.StructType(
     [
@@ -242,3 +244,65 @@ def test_the_next_day_reads_new_loads_only(spark, tmp_path, monkeypatch):
     history = WH.read_versions(spark, f"{root}/silver/dim_customers_scd2")
     assert history.filter("is_current").count() == 5 and history.count() == 7
     assert rows(history.filter("is_current and credit_score = 650").select("customer_id")) == [("C0",), ("C1",)]
+
+
+HEAD = "id,score,amount,born,rate\n"
+
+
+def test_a_replaced_file_is_loaded_once_and_its_old_rows_go(spark, landing, tmp_path):
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    other = tmp_path / "in" / "two.csv"
+    other.write_text(HEAD + "k,1,1,2024-01-01,1\n")
+
+    def load():
+        again = load_landed(spark, landing, SCHEMA, out, state)
+        good = sorted(r["id"] for r in bronze.read_bronze(spark, out).collect())
+        return again, good, bronze.read_rejects(spark, out).count()
+
+    first = ["a", "d", "e", "f", "g, h", "k", 'say "hi"']
+    assert load() == (0, first, 3)
+    (tmp_path / "in" / "one.csv").write_text(HEAD + "a,5,1,2024-01-01,1\nz,x,1,2024-01-01,1\n")
+    assert load() == (1, ["a", "k"], 1)
+    assert load() == (0, ["a", "k"], 1)
+    # replaced again, beside a new file
+    (tmp_path / "in" / "one.csv").write_text(HEAD + "b,6,1,2024-01-01,1\nc,7,1,2024-01-01,1\n")
+    (tmp_path / "in" / "three.csv").write_text(HEAD + "n,1,1,2024-01-01,1\n")
+    assert load() == (1, ["b", "c", "k", "n"], 0)
+    # emptied, then filled
+    other.write_text(HEAD)
+    assert load() == (1, ["b", "c", "n"], 0)
+    other.write_text(HEAD + "k2,1,1,2024-01-01,1\n")
+    assert load() == (1, ["b", "c", "k2", "n"], 0)
+    assert bronze.read_bronze(spark, out).columns == [*SCHEMA.names, "_loaded_at"]
+
+
+def test_a_restored_older_file_counts_and_names_may_be_odd(spark, tmp_path):
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    (tmp_path / "in").mkdir()
+    file = tmp_path / "in" / "a b %20é=1.csv"
+    file.write_text(HEAD + "new,1,1,2024-01-01,1\n")
+    load_landed(spark, str(tmp_path / "in"), SCHEMA, out, state)
+    file.write_text(HEAD + "old,1,1,2024-01-01,1\n")
+    os.utime(file, (1_000_000_000, 1_000_000_000))
+    assert load_landed(spark, str(tmp_path / "in"), SCHEMA, out, state, by_name=True) == 1
+    assert [r["id"] for r in bronze.read_bronze(spark, out).collect()] == ["old"]
+
+
+def test_a_reload_that_died_does_not_count(spark, landing, tmp_path, monkeypatch):
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    load_landed(spark, landing, SCHEMA, out, state)
+    (tmp_path / "in" / "one.csv").write_text(HEAD + "z,1,1,2024-01-01,1\n")
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(LD, "note_files", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            load_landed(spark, landing, SCHEMA, out, state)
+    assert bronze.read_bronze(spark, out).count() == 6 and len(bronze.load_names(spark, out)) == 1
+    assert load_landed(spark, landing, SCHEMA, out, state) == 1
+    assert [r["id"] for r in bronze.read_bronze(spark, out).collect()] == ["z"]
+    assert len(bronze.load_names(spark, out)) == 2
+    pairs = LG.superseded(LG.read_ledger(spark, out))
+    assert bronze.read_retracted(spark, out, pairs).count() == 6
