@@ -24,9 +24,11 @@ from lendmill.operators.lineage import lineage
 from lendmill.plans import analytics as A
 from lendmill.plans import driver_tables as D
 from lendmill.plans.daily_refresh import daily_refresh
+from lendmill.plans.mart_upkeep import MartUpkeep
 from lendmill.plans.oracle_views import with_views
 from lendmill.session import fresh_path, shared_dir
 from lendmill.sources import bronze, files
+from lendmill.sources.buckets import BucketTable
 from lendmill.sources.warehouse import register_view
 from lendmill.streaming.indexing import start_indexing
 from lendmill.streaming.landing import ingest_bronze, load_landed, start_load
@@ -557,6 +559,48 @@ def scd2_apply(spark, d):
     return history.scd2_apply(dim, later, "customer_id", _CHECKED, _SECOND)
 
 
+def _kept_marts(spark, d) -> MartUpkeep:
+    """The marts after two days. The first brings two thirds of every table, half of it wrong; the
+    second takes the wrong rows back, and brings the right ones and the rest."""
+    raw = {n: getattr(D, n)(spark, d) for n in schemas.RAW_TABLES}
+    key = {"raw_customers": "customer_id", "raw_loans": "loan_id", "raw_repayments": "repayment_id",
+           "raw_savings": "account_id", "raw_transactions": "txn_id"}
+    wrong = {
+        "raw_customers": {"city": F.lit("nowhere"), "credit_score": F.lit(None)},
+        "raw_loans": {"customer_id": F.col("customer_id") + 1, "outstanding": F.lit(1), "is_default": F.lit(1)},
+        "raw_repayments": {"paid_date": F.date_add("paid_date", 400), "amount_paid": F.lit(None)},
+        "raw_savings": {"customer_id": F.col("customer_id") + 2, "balance": F.lit(7)},
+        "raw_transactions": {"account_id": F.col("account_id") + 1, "amount": F.lit(-1)},
+    }
+    upkeep = MartUpkeep(spark, fresh_path(spark, "house"), raw, buckets=8)
+    days: list[dict] = [{}, {}]
+    for name, rows in raw.items():
+        third = F.pmod(F.xxhash64(key[name]), F.lit(3))
+        kinds = dict(rows.dtypes)
+        bent = rows.filter(third == 1).withColumns({c: v.cast(kinds[c]) for c, v in wrong[name].items()})
+        days[0][name] = (rows.filter(third == 0).unionByName(bent), None)
+        days[1][name] = (rows.filter(third != 0), bent)
+    for number, changes in enumerate(days, 1):
+        upkeep.apply(changes, number)
+    return upkeep
+
+
+@query(
+    "SELECT * FROM mart_loan_performance",
+    DOUBLE="plafond outstanding total_due total_paid collection_ratio", VARCHAR="disbursed_at",
+)
+def mart_incremental(spark, d):
+    return _kept_marts(spark, d).loan_mart()
+
+
+@query(
+    "SELECT * FROM mart_customer_360",
+    DOUBLE="monthly_income total_plafond total_outstanding total_savings_balance total_txn_amount",
+)
+def mart_incremental_customers(spark, d):
+    return _kept_marts(spark, d).customer_mart(D.AS_OF)
+
+
 # A batch with every late loan paid off, one backdated loan set, and new loans.
 _BATCH_AT = "2026-06-01 09:00:00"
 _BATCH = {
@@ -609,6 +653,28 @@ def upsert_latest(spark, d):
     return history.upsert_latest(base, _loan_batch(loans), "loan_id", "updated_at")
 
 
+@query(
+    """SELECT loan_id, customer_id, status, outstanding, updated_at FROM (
+         SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY updated_at DESC, from_batch DESC) AS place
+         FROM (SELECT loan_id, customer_id, status, outstanding, updated_at, 0 AS from_batch FROM stg_loans
+               UNION ALL SELECT *, 1 FROM batch)) WHERE place = 1""",
+    extra=_BATCH,
+    DOUBLE="outstanding",
+    VARCHAR="updated_at",
+)
+def upsert_buckets(spark, d):
+    """The same upsert into a table kept in buckets, batch by batch, one of them made twice."""
+    loans = D.loans(spark, d)
+    base = loans.select("loan_id", "customer_id", "status", "outstanding", "updated_at")
+    table = BucketTable(spark, fresh_path(spark, "loans"), "loan_id", base.schema, buckets=16)
+    batch = _loan_batch(loans)
+    early = F.col("updated_at") < "2000-01-01"
+    for number, rows in enumerate((base, batch.filter(early), batch.filter(~early)), 1):
+        for _ in range(2):
+            table.upsert(rows, number, "updated_at")
+    return table.read()
+
+
 @query(
     """SELECT event_id, user_id, event_type, ts FROM (
          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place FROM events)
@@ -1539,4 +1605,4 @@ def daily_refresh_report(spark, d):
     landing, root = fresh_path(spark, "landing"), fresh_path(spark, "lakehouse")
     for name, (file, schema) in schemas.RAW_TABLES.items():
         _write_csv(getattr(D, name)(spark, d).select(*schema.names), f"{landing}/{file}")
-    return daily_refresh(spark, landing, root, D.AS_OF)
+    return daily_refresh(spark, landing, root, D.AS_OF, buckets=8)

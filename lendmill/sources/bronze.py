@@ -182,6 +182,17 @@ def read_retracted(spark: SparkSession, path: str, pairs: DataFrame) -> DataFram
     return good_rows(rows.drop(LOAD))
 
 
+def read_without(
+    spark: SparkSession, path: str, loads: list[str], pairs: DataFrame | None = None
+) -> DataFrame:
+    """Good rows of some loads but for those of (load, file) ``pairs``, whatever was replaced since."""
+    rows = _stored(spark, path)[0].filter(F.col(LOAD).isin(loads))
+    if pairs is not None:
+        same = (F.col(LOAD) == F.col("load")) & (F.col(FILE) == F.col("file"))
+        rows = rows.join(pairs, same, "left_anti")
+    return good_rows(rows.drop(LOAD))
+
+
 def load_names(spark: SparkSession, path: str) -> list[str]:
     """The loads of a raw table that count, in order of name."""
     entered = _entered(read_ledger(spark, path))

@@ -228,22 +228,65 @@ def test_a_day_and_its_rerun(spark, tmp_path):
 
 
 def test_the_next_day_reads_new_loads_only(spark, tmp_path, monkeypatch):
-    from lendmill.plans import daily_refresh as D
+    from lendmill.sources import changes as CH
 
     landing, root = tmp_path / "landing", str(tmp_path / "house")
     _land_day(landing, 700)
-    daily_refresh(spark, str(landing), root, "2026-01-02").collect()
+    daily_refresh(spark, str(landing), root, "2026-01-02", buckets=4).collect()
     asked = []
-    monkeypatch.setattr(D, "read_bronze", lambda s, p, loads=None: asked.append(loads) or bronze.read_bronze(s, p, loads))
+    whole = CH.read_without
+    monkeypatch.setattr(CH, "read_without", lambda s, p, loads, *more: asked.append((p, loads)) or whole(s, p, loads, *more))
     customers = (landing / "customers.csv").read_text().splitlines()
     later = [customers[0]] + [x.replace(",700,", ",650,").replace("2026-01-01", "2026-01-05") for x in customers[1:3]]
     stale = customers[3].replace(",700,", ",300,").replace("2026-01-01", "2025-01-01")
     (landing / "customers.csv.2").write_text("\n".join([*later, stale]) + "\n")
-    daily_refresh(spark, str(landing), root, "2026-01-06").collect()
-    assert len([x for x in asked if x is not None][0]) == 1
+    daily_refresh(spark, str(landing), root, "2026-01-06", buckets=4).collect()
+    assert [(p.rsplit("/", 1)[1], len(loads)) for p, loads in asked] == [("raw_customers", 1)]
     history = WH.read_versions(spark, f"{root}/silver/dim_customers_scd2")
     assert history.filter("is_current").count() == 5 and history.count() == 7
-    assert rows(history.filter("is_current and credit_score = 650").select("customer_id")) == [("C0",), ("C1",)]
+
+
+def test_a_day_with_replaced_files_equals_a_rebuild(spark, tmp_path):
+    """A loan twice in one delivery, then replaced files, then a file replaced before it was ever read."""
+    from lendmill.sources.warehouse import read_table
+    from test_upkeep import rebuilt
+
+    landing, root = tmp_path / "landing", str(tmp_path / "house")
+    _land_day(landing, 700)
+
+    def edit(name, fn):
+        lines = (landing / name).read_text().splitlines()
+        (landing / name).write_text("\n".join([lines[0], *fn(lines[1:])]) + "\n")
+
+    def run(at):
+        daily_refresh(spark, str(landing), root, at, buckets=4).collect()
+        raw = {n: bronze.read_bronze(spark, f"{root}/bronze/{n}") for n in schemas.RAW_TABLES}
+        wanted = rebuilt(raw)
+        mine = [spark.table("mart_loan_performance"), spark.table("mart_customer_360")]
+        assert [rows(m) for m in mine] == [rows(w.select(m.columns)) for m, w in zip(mine, wanted, strict=True)]
+        tests = read_table(spark, f"{root}/gold/test_results")
+        found = {r["test_name"]: (r["failures"], r["status"]) for r in tests.collect()}
+        return found["unique_stg_loans_loan_id"], raw
+
+    edit("loans.csv", lambda old: [*old, old[2].replace(",LANCAR,", ",LUNAS,").replace("2026-01-01", "2026-01-02")])
+    failed, _ = run("2026-01-02")
+    assert failed == (1, "fail")
+    edit("loans.csv", lambda old: [x.replace(",C1,", ",C2,") for x in old[:6]])
+    edit("repayments.csv", lambda old: [x.replace("2025-02-02", "2025-03-02") for x in old[3:]])
+    edit("customers.csv", lambda old: [x.replace(",700,", ",500,").replace("2026-01-01", "2026-01-03") for x in old[:4]])
+    (landing / "savings.csv.2").write_text((landing / "savings.csv").read_text().replace("\nA", "\nB"))
+    failed, raw = run("2026-01-04")
+    assert failed == (0, "pass") and raw["raw_loans"].count() == 6 and raw["raw_savings"].count() == 12
+    history = WH.read_versions(spark, f"{root}/silver/dim_customers_scd2")
+    current = {r["customer_id"]: r["credit_score"] for r in history.filter("is_current").collect()}
+    assert current == {"C0": 500, "C1": 500, "C2": 500, "C3": 500, "C4": 700}
+    # loaded and replaced between two days
+    (landing / "transactions.csv.2").write_text((landing / "transactions.csv").read_text().replace("\nT", "\nU"))
+    ingest_bronze(spark, str(landing), f"{root}/bronze")
+    edit("transactions.csv.2", lambda old: old[:3])
+    edit("savings.csv", lambda old: old[1:])
+    _, raw = run("2026-01-05")
+    assert raw["raw_transactions"].count() == 33 and raw["raw_savings"].count() == 11
 
 
 HEAD = "id,score,amount,born,rate\n"
