@@ -156,6 +156,8 @@ class MartUpkeep:
         Numbers rise. A change that died half-way is made again under its number and with
         the same rows: tables that have it already are left as they are.
         """
+        if not changes:
+            return
         raw = {n: I.signed(came, gone) for n, (came, gone) in changes.items()}
         staged = {n: self._staged(n, rows) for n, rows in raw.items()}
 

@@ -182,6 +182,12 @@ def read_retracted(spark: SparkSession, path: str, pairs: DataFrame) -> DataFram
     return good_rows(rows.drop(LOAD))
 
 
+def replaced_pairs(spark: SparkSession, path: str) -> DataFrame | None:
+    """(load, file) of all files that were replaced since their load; None where none was."""
+    ledger = read_ledger(spark, path)
+    return superseded(ledger) if _entered(ledger) else None
+
+
 def read_without(
     spark: SparkSession, path: str, loads: list[str], pairs: DataFrame | None = None
 ) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendmill.sources.bronze import load_names, read_retracted, read_without
-from lendmill.sources.ledger import read_ledger, superseded
+from lendmill.sources.bronze import load_names, read_retracted, read_without, replaced_pairs
 
 CAME, LEFT_OUT, GONE = "came", "left out", "gone"
 _PLAN = "table string, load string, file string, kind string"
@@ -45,9 +46,10 @@ class Feed:
         done, planned = self._numbers("done"), self._numbers("planned")
         number = done + 1
         if planned <= done:
-            self._write(number, self._seen() if done else None)
+            self._write(number, self._plans() if done else None)
             self._record("planned", number)
         listed = self._plans().filter(F.col("plan") == number)
+        came = listed.filter(F.col("kind") == CAME).collect()  # a row per load
         kinds = {(r["table"], r["kind"]) for r in listed.select("table", "kind").distinct().collect()}
         changes = {}
         for name, path in self.tables.items():
@@ -56,36 +58,38 @@ class Feed:
                 mine = listed.filter((F.col("table") == name) & (F.col("kind") == kind))
                 return mine.select("load", "file")
 
-            loads = [r["load"] for r in pairs(CAME).collect()] if (name, CAME) in kinds else []
+            loads = [r["load"] for r in came if r["table"] == name]
             gone = read_retracted(self.spark, path, pairs(GONE)) if (name, GONE) in kinds else None
             if loads or gone is not None:
                 left_out = pairs(LEFT_OUT) if (name, LEFT_OUT) in kinds else None
                 changes[name] = (read_without(self.spark, path, loads, left_out), gone)
         return number, changes
 
-    def _seen(self) -> DataFrame:
-        return self._plans().select("table", "load", "file").distinct()
-
     def _write(self, number: int, seen: DataFrame | None) -> None:
-        spark, found = self.spark, []
-        for name, path in self.tables.items():
-            loads = [(name, load) for load in load_names(spark, path)]  # a row per load
-            loads = spark.createDataFrame(loads, "table string, load string")
-            old = superseded(read_ledger(spark, path)).select(F.lit(name).alias("table"), "load", "file")
-            if seen is None:
-                known = loads.limit(0)
-            else:
-                known = seen.filter(F.col("file").isNull()).select("table", "load")
-                old = old.join(seen, ["table", "load", "file"], "left_anti")
-            came = loads.join(known, ["table", "load"], "left_anti")
-            found.append(came.select("table", "load", F.lit(None).cast("string").alias("file"), F.lit(CAME).alias("kind")))
-            was_known = known.withColumn("_known", F.lit(True))
-            kind = F.when(F.col("_known"), GONE).otherwise(LEFT_OUT).alias("kind")
-            found.append(old.join(was_known, ["table", "load"], "left").select("table", "load", "file", kind))
-        every = found[0]
-        for part in found[1:]:
-            every = every.unionByName(part)
-        every.coalesce(1).write.mode("overwrite").parquet(f"{self.state}/plans/plan={number}")
+        spark, loads, replaced = self.spark, [], []
+        known = set()
+        if seen is not None:  # a row per load
+            known = {(r["table"], r["load"]) for r in seen.filter(F.col("kind") == CAME).collect()}
+
+        def look(table: tuple[str, str]) -> tuple[str, list[str], DataFrame | None]:
+            name, path = table
+            every = load_names(spark, path)
+            return name, every, replaced_pairs(spark, path)
+
+        with ThreadPoolExecutor(len(self.tables)) as pool:
+            for name, every, old in pool.map(look, self.tables.items()):
+                new = [x for x in every if (name, x) not in known]
+                loads += [(name, x, None, CAME) for x in new]
+                if old is not None:
+                    kind = F.when(F.col("load").isin(new), LEFT_OUT).otherwise(GONE).alias("kind")
+                    old = old.select(F.lit(name).alias("table"), "load", "file", kind)
+                    if seen is not None:
+                        old = old.join(seen.select("table", "load", "file"), ["table", "load", "file"], "left_anti")
+                    replaced.append(old)
+        found = spark.createDataFrame(loads, _PLAN)
+        for part in replaced:
+            found = found.unionByName(part)
+        found.coalesce(1).write.mode("overwrite").parquet(f"{self.state}/plans/plan={number}")
 
     def done(self, number: int) -> None:
         self._record("done", number)
