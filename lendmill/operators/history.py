@@ -207,3 +207,41 @@ def scd2_from_history(
     for part in parts[1:]:
         out = out.unionByName(final(part))
     return out
+
+
+def scd2_insert(
+    versions: DataFrame, seen: DataFrame, delivered: DataFrame, key: str, check_cols: list[str], ts: str
+) -> DataFrame:
+    """Stored versions after a delivery of past or new rows, in whatever order they come.
+
+    ``seen`` holds every row so far, the delivered ones included, one per key and instant:
+    a row that once repeated the state before it opens a version when another state is
+    put between. Per key of the delivery, versions are made again from the one in force
+    before its first instant up to the second that starts after its last; there the stored
+    state no longer depends on what came. All other versions, and other keys, stay as they are.
+    """
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    span = delivered.groupBy(F.col(key).alias("_key")).agg(
+        F.min(ts).alias("_first"), F.max(ts).alias("_last")
+    )
+    beside = versions.join(span, same)
+    before = F.max(F.when(F.col(VALID_FROM) < F.col("_first"), F.col(VALID_FROM)))
+    after = F.min(F.when(F.col(VALID_FROM) > F.col("_last"), F.col(VALID_TO)))
+    edges = beside.groupBy(F.col("_key").alias("_edge_key")).agg(
+        before.alias("_start"), after.alias("_stop")
+    )
+    window = span.join(edges, F.col("_key").eqNullSafe(F.col("_edge_key")), "left").select(
+        "_key", "_start", "_stop"
+    )
+    began = F.col("_start").isNull() | (F.col(ts) >= F.col("_start"))
+    again = seen.join(window, same).filter(
+        began & (F.col("_stop").isNull() | (F.col(ts) < F.col("_stop")))
+    )
+    made = scd2_from_history(again.select(key, *check_cols, ts), key, check_cols, ts)
+    stops = window.select(F.col("_key"), "_stop")
+    made = made.join(stops, same).withColumn(VALID_TO, F.coalesce(VALID_TO, "_stop"))
+    made = made.withColumn(IS_CURRENT, F.col(VALID_TO).isNull()).drop("_key", "_stop")
+    inside = F.col("_start").isNull() | (F.col(VALID_FROM) >= F.col("_start"))
+    inside = inside & (F.col("_stop").isNull() | (F.col(VALID_FROM) < F.col("_stop")))
+    kept = versions.join(window, same & inside, "left_anti")
+    return kept.unionByName(made.select(*kept.columns))

@@ -24,6 +24,7 @@ from lendmill.operators.lineage import lineage
 from lendmill.plans import analytics as A
 from lendmill.plans import driver_tables as D
 from lendmill.plans.daily_refresh import daily_refresh
+from lendmill.plans.history_upkeep import HistoryTable
 from lendmill.plans.mart_upkeep import MartUpkeep
 from lendmill.plans.oracle_views import with_views
 from lendmill.session import fresh_path, shared_dir
@@ -514,6 +515,30 @@ def scd2_history(spark, d):
     return history.scd2_from_history(events, "user_id", ["event_type"], "ts", "event_id")
 
 
+@query(
+    """SELECT user_id, event_type, valid_from, valid_to, CASE WHEN valid_to IS NULL THEN 1 ELSE 0 END AS is_current
+       FROM (SELECT user_id, event_type, ts AS valid_from,
+                    lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS valid_to
+             FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS before,
+                          row_number() OVER (PARTITION BY user_id ORDER BY ts) AS place
+                   FROM (SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS copy
+                         FROM events) WHERE copy = 1)
+             WHERE place = 1 OR event_type IS DISTINCT FROM before)""",
+    VARCHAR="valid_from valid_to",
+    BIGINT="is_current",
+)
+def scd2_backdated(spark, d):
+    """The same history from three deliveries, the newest rows first, the others between those."""
+    events = D.table(spark, d, "events").select("user_id", "event_type", "ts", "event_id")
+    table = HistoryTable(
+        spark, fresh_path(spark, "history"), events, "user_id", ["event_type"], "ts", "event_id", buckets=8
+    )
+    turn = F.when(F.col("event_id") % 5 == 0, 3).when(F.dayofmonth("ts") > 15, 1).otherwise(2)
+    for number in (1, 2, 3):
+        table.deliver(events.filter(turn == number), number)
+    return table.read()
+
+
 _CHECKED = ["province", "segment", "credit_score"]
 _FIRST, _SECOND = "2024-01-01 00:00:00", "2024-07-01 00:00:00"
 _VERSIONS = {
