@@ -50,7 +50,7 @@ def compare(spark, con, sf_dir, run, sql):
     odd = {
         f.name: (f.dataType.simpleString(), kinds[f.name])
         for f in df.schema
-        if {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}.get(
+        if {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "int": "INTEGER", "boolean": "BOOLEAN"}.get(
             f.dataType.simpleString()
         )
         != kinds[f.name]
