@@ -19,12 +19,14 @@ Defined results: null text is empty. Without a column of sections, every line is
 with its line break, and an empty text is one empty section. A document without
 sections (null or empty list) gives no rows. A null bound is the text's start or end;
 bounds beyond the text are cut, and a reversed section is empty. Repeated rows are
-counted each. Empty table: empty.
+counted each. Texts may be of any length and hold runs of any length, blanks and
+line breaks too. Empty table: empty.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,11 +45,24 @@ by_value(__name__)
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: What the pattern takes for white space.
+BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+#: Blanks in a row from which they are encoded apart from the text around them.
+LONG_GAP = 10_000
+
 RULES = ("start", "most", "split")
 
 
 class Encoder:
-    """A byte-level vocabulary with the byte length of each token."""
+    """A byte-level vocabulary with the byte length of each token.
+
+    The pattern looks ahead behind a gap, which takes a stack as deep as the gap is long and
+    fails on some hundred thousand blanks. Where it cuts a gap is known: all but the last
+    blank are one piece, and the last goes with what follows; a gap that ends the text is
+    one piece. So a long gap is handed to the merges as that piece, and tokens stay the
+    same. A ``pattern`` of one's own is applied as it is.
+    """
 
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
@@ -58,11 +73,23 @@ class Encoder:
         self._encoding = tiktoken.Encoding(
             "given", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         )
+        self._gaps = re.compile(f"[{BLANK}]{{{LONG_GAP},}}") if pattern == PATTERN else None
+
+    def tokens(self, text: str) -> np.ndarray:
+        """The numbers of all tokens, in order."""
+        parts, done = [], 0
+        for gap in self._gaps.finditer(text) if self._gaps else ():
+            end = gap.end() if gap.end() == len(text) else gap.end() - 1
+            parts.append(self._encoding.encode_ordinary(text[done : gap.start()]))
+            parts.append(self._encoding._encode_single_piece(text[gap.start() : end]))
+            done = end
+        parts.append(self._encoding.encode_ordinary(text[done:]))
+        return np.concatenate([np.array(p, np.int64) for p in parts])
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """First character and the one after the last of each token, in order."""
         raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-        ids = np.array(self._encoding.encode_ordinary(text), np.int64)
+        ids = self.tokens(text)
         ends = np.cumsum(self.lengths[ids])
         starts = ends - self.lengths[ids]
         if len(raw) == len(text):  # ASCII
