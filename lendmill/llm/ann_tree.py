@@ -9,10 +9,13 @@ for a bounded sample of queries the true neighbours are found by comparing them
 vectors, and visits are widened until ``TARGET_RECALL`` of those neighbours lie in the
 visited leaves. A query goes on beyond that while its leaves hold too few rows.
 
-How it runs: vectors are indexed in one pass and shuffled by leaf. A leaf is cut into
-blocks of vectors, and the queries that visit it into blocks of queries; each pair of
-blocks is compared in one task, so neither a leaf with a third of all vectors nor one
-that all queries visit is held whole. Tree, leaf counts and calibration queries are
+How it runs: vectors are indexed in one pass. Leaves side by side form groups of about a
+block of vectors; a larger leaf is cut into blocks, and so are the queries that visit a
+group. Each pair of blocks is compared in one task, so neither a leaf with a third of all
+vectors nor one that all queries visit is held whole. Leaves are visited in rounds, the nearest few
+first, then four times as far each: a query goes to a group once a round, with the leaves it
+visits there and the k-th distance it has so far, and a task returns only what lies within
+that. So the rows returned are a few k for each query and round, however many leaves are visited. Tree, leaf counts and calibration queries are
 bounded by parameters and travel with the job. Distances are exact, in double
 precision, on the original vectors; only the choice of leaves is approximate.
 
@@ -57,6 +60,10 @@ TARGET_RECALL = 0.96
 #: Rows of a block of vectors or of queries.
 BLOCK_ROWS = 2048
 
+#: Leaves of the first round of visits, and how much farther each later round goes.
+FIRST_VISITS = 4
+WIDEN = 4
+
 
 # ---- tree ---------------------------------------------------------------------
 
@@ -153,24 +160,37 @@ def _indexed(batches: Iterator[pa.RecordBatch], tree: Tree) -> Iterator[pa.Recor
 
 
 def _asked(
-    batches: Iterator[pa.RecordBatch], tree: Tree, rows: np.ndarray, visits: int, k: int
+    batches: Iterator[pa.RecordBatch],
+    tree: Tree,
+    rows: np.ndarray,
+    group: np.ndarray,
+    span: tuple[int, int],
+    visits: int,
+    k: int,
 ) -> Iterator[pa.RecordBatch]:
-    """A row per query and leaf it visits."""
+    """A row per query and group of leaves, with the leaves of the group that the query visits as its
+    ``span``-th ones, and the distance that is still worth returning."""
     for batch in batches:
-        take, leaves = [], []
+        take, groups, leaves = [], [], []
         for i, q in enumerate(_matrix(batch.column("vec"))):
-            seen = 0
+            seen, mine = 0, {}
             for n, leaf in enumerate(tree.visits(q)):
-                if n >= visits and seen > k:
+                if n >= span[1] or n >= visits and seen > k:
                     break
                 seen += int(rows[leaf])
-                if rows[leaf]:
-                    take.append(i)
-                    leaves.append(leaf)
+                if n >= span[0] and rows[leaf]:
+                    mine.setdefault(int(group[leaf]), []).append(leaf)
+            take += [i] * len(mine)
+            groups += mine
+            leaves += mine.values()
         at = pa.array(take, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(leaves, pa.int64()), batch.column("id").take(at), batch.column("vec").take(at)],
-            names=["leaf", "query", "vec"],
+            [
+                pa.array(groups, pa.int64()),
+                pa.array(leaves, pa.list_(pa.int64())),
+                *(batch.column(c).take(at) for c in ("id", "vec", "within")),
+            ],
+            names=["group", "leaves", "query", "vec", "within"],
         )
 
 
@@ -196,22 +216,24 @@ def _nearest(
 
 
 def _compared(vectors: pa.Table, queries: pa.Table, k: int) -> pa.Table:
-    """The k nearest of a block of vectors for each of a block of queries."""
-    query_ids, ids = queries.column("query").to_numpy(), vectors.column("id").to_numpy()
-    if len(query_ids) and len(ids):
-        who, where, score = _nearest(
-            query_ids, _matrix(queries.column("vec")), ids, _matrix(vectors.column("vec")), k
-        )
-    else:
-        who = where = np.zeros(0, np.int64)
-        score = np.zeros(0)
-    return pa.table(
-        {
-            "query": pa.array(query_ids[who], pa.int64()),
-            "id": pa.array(ids[where], pa.int64()),
-            "score": pa.array(score, pa.float64()),
-        }
-    )
+    """The k nearest of a block of vectors for each of a block of queries, in the leaves the query
+    visits and within its distance."""
+    parts = []
+    if vectors.num_rows and queries.num_rows:
+        x, ids = _matrix(vectors.column("vec")), vectors.column("id").to_numpy()
+        leaf = vectors.column("leaf").to_numpy()
+        in_leaf = {n: np.flatnonzero(leaf == n) for n in np.unique(leaf)}
+        none = np.zeros(0, np.int64)
+        query_ids, q = queries.column("query").to_numpy(), _matrix(queries.column("vec"))
+        within = queries.column("within").to_numpy()
+        for i, leaves in enumerate(queries.column("leaves").to_pylist()):
+            at = np.concatenate([in_leaf.get(n, none) for n in leaves])
+            _, where, score = _nearest(query_ids[i : i + 1], q[i : i + 1], ids[at], x[at], k)
+            near = score <= within[i]
+            parts.append((np.full(near.sum(), query_ids[i]), ids[at][where[near]], score[near]))
+    kinds = {"query": pa.int64(), "id": pa.int64(), "score": pa.float64()}
+    columns = zip(*parts, strict=True) if parts else ([np.zeros(0)],) * 3
+    return pa.table({n: pa.array(np.concatenate(c), t) for (n, t), c in zip(kinds.items(), columns, strict=True)})
 
 
 def _true_neighbours(
@@ -299,43 +321,67 @@ class AnnIndex:
             return 1
         return sorted(needed)[math.ceil(target * len(needed)) - 1]
 
+    def _groups(self) -> tuple[np.ndarray, dict[int, int]]:
+        """The group of each leaf, and the rows of each group: leaves side by side up to about a block."""
+        before = np.concatenate([[0], np.cumsum(self.rows)[:-1]])
+        _, group = np.unique(before // self.block_rows, return_inverse=True)
+        return group, {g: int(self.rows[group == g].sum()) for g in range(int(group.max()) + 1)}
+
     def search(self, queries: DataFrame, k: int = NEIGHBOURS, visits: int | None = None) -> DataFrame:
         """``query``, ``rank``, ``id`` and ``score`` of the k nearest found for each row (id, vec)."""
         visits = self.calibrate(k) if visits is None else visits
-        tree, rows, size = self.tree, self.rows, self.block_rows
-        asked = C.written(
-            queries.mapInArrow(
-                lambda b: _asked(b, tree, rows, visits, k), "leaf long, query long, vec array<double>"
-            ),
-            "ann-asked",
-        )
-        per_leaf = {r["leaf"]: r["count"] for r in asked.groupBy("leaf").count().collect()}
-        cut = lambda n: max(1, math.ceil(n / size))
-        cuts = [(i, cut(int(n)), cut(per_leaf.get(i, 0))) for i, n in enumerate(rows)]
-        # one row per leaf, a few thousand at most
-        cuts = queries.sparkSession.createDataFrame(cuts, "leaf long, blocks long, query_blocks long")
+        tree, rows, size, spark = self.tree, self.rows, self.block_rows, queries.sparkSession
+        group, held = self._groups()
         every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-        vectors = self.table.join(F.broadcast(cuts), "leaf").select(
-            "leaf",
-            "id",
-            "vec",
-            F.pmod(F.xxhash64("id", "vec"), "blocks").alias("block"),
-            every("query_blocks").alias("query_block"),
-        )
-        asked = asked.join(F.broadcast(cuts), "leaf").select(
-            "leaf",
-            "query",
-            "vec",
-            every("blocks").alias("block"),
-            F.pmod(F.xxhash64("query"), "query_blocks").alias("query_block"),
-        )
-        keys = ("leaf", "block", "query_block")
-        found = (
-            vectors.groupBy(*keys)
-            .cogroup(asked.groupBy(*keys))
-            .applyInArrow(lambda v, q: _compared(v, q, k), "query long, id long, score double")
-        )
-        return _top(found, k).select("query", "rank", "id", "score")
+        of_leaf = F.get(F.array(*[F.lit(int(g)) for g in group]), F.col("leaf").cast("int")).cast("long")
+        vectors = self.table.withColumn("group", of_leaf)
+        best = spark.createDataFrame([], "query long, id long, score double, rank int")
+        start, stop = 0, FIRST_VISITS
+        while start < len(rows):
+            span = (start, stop if stop < visits else len(rows))
+            # the k-th distance so far; what is farther off is not returned
+            kth = best.where(F.col("rank") == k).select(F.col("query").alias("of"), "score")
+            asking = queries.join(kth, F.col("id") == F.col("of"), "left").select(
+                "id", "vec", F.coalesce("score", F.lit(float("inf"))).alias("within")
+            )
+            asked = C.written(
+                asking.mapInArrow(
+                    lambda b, span=span: _asked(b, tree, rows, group, span, visits, k),
+                    "group long, leaves array<long>, query long, vec array<double>, within double",
+                ),
+                "ann-asked",
+            )
+            waiting = {r["group"]: r["count"] for r in asked.groupBy("group").count().collect()}
+            cut = lambda n: max(1, math.ceil(n / size))
+            cuts = [(g, cut(n), cut(waiting.get(g, 0))) for g, n in held.items() if g in waiting]
+            # one row per group of leaves, a few thousand at most
+            cuts = spark.createDataFrame(cuts, "group long, blocks long, query_blocks long")
+            theirs = vectors.join(F.broadcast(cuts), "group").select(
+                "group",
+                "leaf",
+                "id",
+                "vec",
+                F.pmod(F.xxhash64("id", "vec"), "blocks").alias("block"),
+                every("query_blocks").alias("query_block"),
+            )
+            asked = asked.join(F.broadcast(cuts), "group").select(
+                "group",
+                "leaves",
+                "query",
+                "vec",
+                "within",
+                every("blocks").alias("block"),
+                F.pmod(F.xxhash64("query"), "query_blocks").alias("query_block"),
+            )
+            keys = ("group", "block", "query_block")
+            found = (
+                theirs.groupBy(*keys)
+                .cogroup(asked.groupBy(*keys))
+                .applyInArrow(lambda v, q: _compared(v, q, k), "query long, id long, score double")
+            )
+            best = C.written(_top(best.drop("rank").unionByName(found), k), "ann-best")
+            start, stop = span[1], span[1] * WIDEN
+        return best.select("query", "rank", "id", "score")
 
 
 def nearest_neighbours(
