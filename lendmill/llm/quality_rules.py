@@ -6,10 +6,14 @@ and the bad class, how often each rule votes what, and a text's posterior
 probability of being good decides instead of an all-must-pass filter.
 
 Texts enter the estimate only through their vote pattern, so it runs over the
-counts of patterns, at most 3**rules rows however large the input; a round is one
-aggregate over that table and brings six numbers per rule to the driver. Votes
+counts of patterns, at most 3**rules rows however large the input. Spark counts them
+in one aggregate over all texts; those few rows come to the driver, and the rounds run there
+until the estimate is at rest, some thousand rounds of a few hundred numbers. Votes
 and measures are computed once and written to the shared folder.
 
+The base rules, too few words and too much repetition, drop texts by themselves, so no rule that
+votes says the same again.
+
 Defined results: null or empty text has no words, all measures 0, fails the base
 rule. Nulls elsewhere, repeated rows and repeated keys are judged row by row. Very
 long texts are measured whole. Empty table: empty, and the model is its start.
@@ -19,8 +23,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from math import log, prod
+from math import log
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +40,11 @@ MOST_REPEATED_PCT = 50
 #: The posterior from which a text is kept.
 KEEP_FROM = 0.5
 
-#: Rounds of expectation-maximisation at most, and the change that ends them.
-ROUNDS = 40
-STILL = 1e-5
+#: Expectation-maximisation is at rest when no probability changes by more in a round. The
+#: rounds it may take, some hundred times what the slowest estimate seen here took, only guard
+#: against one that never rests.
+STILL = 1e-8
+MOST_ROUNDS = 500_000
 
 #: Weight of what is believed beforehand about every class, in texts, however many there are.
 PRIOR_COUNT = 10.0
@@ -120,16 +127,12 @@ def _per(a: str, b: str) -> Column:
 def default_rules() -> dict[str, Column]:
     length, per_word = _per("q_word_chars", "q_words"), lambda c: _per(c, "q_words")
     return {
-        "length": _vote(F.col("q_words") < LEAST_WORDS, F.col("q_words") >= 100),
         "word_length": _vote((length < 2.5) | (length > 12), (length >= 3) & (length <= 9)),
         "symbols": _vote(per_word("q_symbols") > 0.1, per_word("q_symbols") < 0.02),
         "capitals": _vote(
             _per("q_capitals", "q_word_chars") > 0.3, _per("q_capitals", "q_word_chars") < 0.1
         ),
         "shouting": _vote(per_word("q_shouts") > 0.1, per_word("q_shouts") < 0.02),
-        "repeated_windows": _vote(
-            per_word("q_repeat_words") > 0.5, per_word("q_repeat_words") < 0.35
-        ),
         "repeated_lines": _vote(
             (F.col("q_dup_lines") >= 3) & (_per("q_dup_lines", "q_lines") > 0.5),
             _per("q_dup_lines", "q_lines") < 0.1,
@@ -169,65 +172,64 @@ def start_model(rules: list[str]) -> Model:
     )
 
 
-def improved(model: Model, patterns: list[tuple[dict[str, int], int]]) -> tuple[Model, float]:
-    """One round: which class each pattern's texts belong to, then the shares that gives.
+_VALUES = (GOOD, ABSTAIN, BAD)
 
-    Also returns the largest change of a probability.
-    """
-    start = start_model([c for c in model.share if c != "good"])
-    total = {c: PRIOR_COUNT * start.share[c] for c in model.share}
+
+def _arrays(model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Shares by class, and probabilities by class, rule and vote; class 0 is good."""
+    table = [[[p[v] for v in _VALUES] for p in rules.values()] for rules in model.votes.values()]
+    return np.array(list(model.share.values())), np.array(table)
+
+
+def _improved(
+    share: np.ndarray, table: np.ndarray, seen: np.ndarray, n: np.ndarray, first: tuple[np.ndarray, np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """One round: which class each pattern's texts belong to, then the shares and votes that gives."""
+    own = np.arange(table.shape[1])  # rule r has its kind in class r + 1
+    weight = share * np.exp(np.einsum("prv,crv->pc", seen, np.log(table)))
+    texts = weight * (n / weight.sum(axis=1))[:, None]
     # what a rule says of another rule's kind is taken to be what it says of good texts
-    sums = {
-        c: {
-            r: {v: PRIOR_COUNT * p for v, p in (own if c in ("good", r) else model.votes["good"][r]).items()}
-            for r, own in rules.items()
-        }
-        for c, rules in start.votes.items()
-    }
-    for votes, n in patterns:
-        weight = {
-            c: model.share[c] * prod(model.votes[c][r][v] for r, v in votes.items())
-            for c in model.share
-        }
-        whole = sum(weight.values())
-        for c, w in weight.items():
-            total[c] += n * w / whole
-            for r, v in votes.items():
-                sums[c][r][v] += n * w / whole
-    all_texts = sum(total.values())
-    share = {c: max(t / all_texts, 1e-12) for c, t in total.items()}
-    kinds = {c: min(x, KIND_MOST) for c, x in share.items() if c != "good"}
-    share = kinds | {"good": share["good"] + sum(share[c] - x for c, x in kinds.items())}
-    found = {}
-    for c, rules in sums.items():
-        found[c] = {}
-        for r, own in rules.items():
-            p = {v: min(max(x / sum(own.values()), 1e-9), 1 - 1e-9) for v, x in own.items()}
-            bad = p[BAD]
-            if c == r:
-                bad = max(bad, _OWN_LEAST)
-            rest = (1 - bad) / (1 - p[BAD])
-            found[c][r] = {v: bad if v == BAD else x * rest for v, x in p.items()}
-    change = max(
-        abs(x - model.votes[c][r][v]) for c in found for r in found[c] for v, x in found[c][r].items()
-    )
-    return Model(share, found), change
+    belief = np.repeat(table[:1], len(table), axis=0)
+    belief[0], belief[own + 1, own] = first[1][0], first[1][own + 1, own]
+    votes = np.einsum("pc,prv->crv", texts, seen) + PRIOR_COUNT * belief
+    votes = np.clip(votes / votes.sum(axis=2, keepdims=True), 1e-9, 1 - 1e-9)
+    kinds = votes[own + 1, own]
+    bad = np.maximum(kinds[:, 2], _OWN_LEAST)
+    kinds[:, :2] *= ((1 - bad) / (1 - kinds[:, 2]))[:, None]
+    kinds[:, 2] = bad
+    votes[own + 1, own] = kinds
+    total = texts.sum(axis=0) + PRIOR_COUNT * first[0]
+    shares = np.maximum(total / total.sum(), 1e-12)
+    shares[1:] = np.minimum(shares[1:], KIND_MOST)
+    shares[0] = 1 - shares[1:].sum()
+    return shares, votes
 
 
 def estimate(votes: DataFrame, rules: list[str]) -> Model:
-    """The model that expectation-maximisation reaches over all rows' votes.
+    """The model in which expectation-maximisation over all rows' votes comes to rest.
 
     The counts of vote patterns, at most 3**rules rows, come to the driver.
     """
     counted = votes.groupBy(*[f"v_{r}" for r in rules]).agg(F.count(F.lit(1)).alias("n"))
     rows = sorted(tuple(r) for r in counted.collect())  # one order, so that reruns agree to the bit
-    patterns = [(dict(zip(rules, row[:-1], strict=True)), row[-1]) for row in rows]
-    model = start_model(rules)
-    for _ in range(ROUNDS):
-        model, change = improved(model, patterns)
-        if change < STILL:
+    start = start_model(rules)
+    if not rows:
+        return start
+    patterns = np.array([row[:-1] for row in rows]).reshape(len(rows), len(rules))
+    seen = (patterns[:, :, None] == np.array(_VALUES)).astype(float)
+    n = np.array([row[-1] for row in rows], float)
+    first = share, table = _arrays(start)
+    for _ in range(MOST_ROUNDS):
+        before = table
+        share, table = _improved(share, table, seen, n, first)
+        if np.abs(table - before).max() < STILL:
             break
-    return model
+    classes = list(start.share)
+    return Model(
+        dict(zip(classes, share.tolist(), strict=True)),
+        {c: {r: dict(zip(_VALUES, p.tolist(), strict=True)) for r, p in zip(rules, t, strict=True)}
+         for c, t in zip(classes, table, strict=True)},
+    )
 
 
 def posterior(model: Model) -> Column:
@@ -253,8 +255,8 @@ def judge(
     rules: Mapping[str, Column] | None = None,
     keep_text: bool = True,
 ) -> DataFrame:
-    """Input columns (``text`` only with ``keep_text``), the measures, ``posterior``,
-    ``base_failed`` and ``kept``."""
+    """Input columns (``text`` only with ``keep_text``), the measures, ``base_failed``,
+    ``kept`` and ``posterior``."""
     rules = default_rules() if rules is None else rules
     names = [n for n in docs.columns if keep_text or n != text]
     column = C.position(docs, text)
@@ -283,8 +285,8 @@ def judge(
             "n_symbols": "q_symbols",
             "n_dup_lines": "q_dup_lines",
             "n_repeat_words": "q_repeat_words",
-            "posterior": "out_posterior",
             "base_failed": "out_failed",
             "kept": "out_kept",
+            "posterior": "out_posterior",
         },
     )

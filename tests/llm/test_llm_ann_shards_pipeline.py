@@ -12,6 +12,8 @@ from oracle_check import compare, connect
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from test_llm_quality_estimate import plain_posteriors
+
 from lendmill.llm import quality_rules as Q
 from lendmill.llm.ann_tree import AnnIndex, Tree, nearest_neighbours
 from lendmill.llm.queries import ORACLE, QUERIES
@@ -160,30 +162,18 @@ def _votes(text):
 
     per = lambda a, b: a / b if b else math.nan
     return (n < 50 or 100 * repeat > 50 * n), {
-        "length": vote(n < 50, n >= 100),
         "word_length": vote(per(chars, n) < 2.5 or per(chars, n) > 12, 3 <= per(chars, n) <= 9),
         "symbols": vote(per(symbols, n) > 0.1, per(symbols, n) < 0.02),
         "capitals": vote(per(capitals, chars) > 0.3, per(capitals, chars) < 0.1),
         "shouting": vote(per(text.count("!"), n) > 0.1, per(text.count("!"), n) < 0.02),
-        "repeated_windows": vote(per(repeat, n) > 0.5, per(repeat, n) < 0.35),
         "repeated_lines": vote(dup >= 3 and per(dup, lines) > 0.5, per(dup, lines) < 0.1),
     }
 
 
 def _kept_by_rules(texts):
-    votes = [_votes(t) for t in texts]
-    counts = collections.Counter(tuple(v.items()) for _, v in votes)
-    patterns = [(dict(p), n) for p, n in counts.items()]
-    model = Q.start_model(list(Q.default_rules()))
-    for _ in range(Q.ROUNDS):
-        model, change = Q.improved(model, patterns)
-        if change < Q.STILL:
-            break
-    out = []
-    for failed, v in votes:
-        w = {c: model.share[c] * math.prod(model.votes[c][r][x] for r, x in v.items()) for c in model.share}
-        out.append(not failed and w["good"] / sum(w.values()) >= Q.KEEP_FROM)
-    return out
+    votes = [(failed, tuple(v.values())) for failed, v in map(_votes, texts)]
+    good = plain_posteriors(collections.Counter(p for _, p in votes))
+    return [not failed and good[p] >= Q.KEEP_FROM for failed, p in votes]
 
 
 def test_pipeline(spark, tmp_path):
@@ -256,4 +246,4 @@ def test_names():
     import __spark_entry__ as entry
 
     numbers = {int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in entry.queries()

@@ -33,14 +33,14 @@ def lone(rule):
 def plain_posteriors(counts):
     """Expectation-maximisation on arrays: class 0 is good, class k the kind of rule k - 1."""
     seen = np.array([[[v == x for x in (1, 0, -1)] for v in p] for p in counts], float)
-    n, k = np.array(list(counts.values()), float), len(RULES)
+    n, k = np.array(list(counts.values()), float), len(next(iter(counts)))
     good, own = np.array([0.8, 0.195, 0.005]), np.array([0.02, 0.03, 0.95])
     share = np.array([0.8] + [0.2 / k] * k)
     table = np.tile(good, (k + 1, k, 1))
     for r in range(k):
         table[r + 1, r] = own
     first_share, first_table = share.copy(), table.copy()
-    for _ in range(40):
+    for _ in range(100_000):
         weight = share * np.exp(np.einsum("prv,crv->pc", seen, np.log(table)))
         texts = n[:, None] * weight / weight.sum(1, keepdims=True)
         believed = np.tile(table[0], (k + 1, 1, 1))
@@ -59,7 +59,7 @@ def plain_posteriors(counts):
         share[1:] = np.minimum(share[1:], 0.1)
         share[0] = 1 - share[1:].sum()
         change, table = np.abs(new - table).max(), new
-        if change < 1e-5:
+        if change < 1e-12:
             break
     weight = share * np.exp(np.einsum("prv,crv->pc", seen, np.log(table)))
     return dict(zip(counts, weight[:, 0] / weight.sum(1), strict=True))
@@ -76,7 +76,7 @@ def posteriors(spark, counts):
 
 def check(spark, counts):
     found, expected = posteriors(spark, counts), plain_posteriors(counts)
-    assert [found[p] for p in counts] == pytest.approx([expected[p] for p in counts], abs=1e-6)
+    assert [found[p] for p in counts] == pytest.approx([expected[p] for p in counts], abs=1e-4)
     return found
 
 
