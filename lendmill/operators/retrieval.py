@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,20 +20,25 @@ WORDS, GONE = "_words", "_gone"
 class SearchIndex:
     """``postings``: term, key, doc_len, tf. ``docs``: key, doc_len and attributes.
 
-    ``counted`` is what both come from: the documents with their words counted.
+    ``counted`` is what both come from: the documents with their words counted. An index
+    that is kept up brings its ``totals`` (n_docs, total_len), one row, and ``documents``, which
+    fetches the documents of a few keys without reading all.
     """
 
     postings: DataFrame
     docs: DataFrame
     key: str
     counted: DataFrame | None = None
+    totals: DataFrame | None = None
+    documents: Callable[[DataFrame], DataFrame] | None = None
 
 
-def _postings(counted: DataFrame, key: str) -> DataFrame:
+def postings_of(counted: DataFrame, key: str, *more: str) -> DataFrame:
+    """A row per document and word."""
     # The outer form keeps Spark from splitting each text twice to drop empty ones.
     return (
-        counted.select(key, "doc_len", F.explode_outer(WORDS).alias("_word"))
-        .select("_word.term", key, "doc_len", "_word.tf")
+        counted.select(key, "doc_len", *more, F.explode_outer(WORDS).alias("_word"))
+        .select("_word.term", key, "doc_len", "_word.tf", *more)
         .filter(F.col("term").isNotNull())
     )
 
@@ -67,7 +73,7 @@ def build_index(
     rows = starts.select(key, "doc_len", *attributes, GONE, counted.alias(WORDS))
     kept = rows.filter(~F.col(GONE)) if deleted else rows
     plain = split.filter(~F.col(GONE)) if deleted else split
-    return SearchIndex(_postings(kept, key), plain.select(key, length, *attributes), key, rows)
+    return SearchIndex(postings_of(kept, key), plain.select(key, length, *attributes), key, rows)
 
 
 def write_index(index: SearchIndex, path: str, part: int = 0) -> None:
@@ -79,7 +85,7 @@ def write_index(index: SearchIndex, path: str, part: int = 0) -> None:
     """
     spark, docs = index.counted.sparkSession, f"{path}/docs/part={part}"
     index.counted.write.mode("overwrite").parquet(docs)
-    postings = _postings(spark.read.parquet(docs), index.key)
+    postings = postings_of(spark.read.parquet(docs), index.key)
     postings.sortWithinPartitions("term").write.mode("overwrite").parquet(
         f"{path}/postings/part={part}"
     )
@@ -124,8 +130,12 @@ def score_documents(index: SearchIndex, query: str) -> DataFrame:
     terms = query_terms(index.postings.sparkSession, query)
     hits = index.postings.filter(F.col("term").isin(terms))
     in_docs = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = index.docs.agg(F.count(F.lit(1))).scalar()
-    mean_len = index.docs.agg(F.avg("doc_len")).scalar()
+    if index.totals is None:
+        n_docs = index.docs.agg(F.count(F.lit(1))).scalar()
+        mean_len = index.docs.agg(F.avg("doc_len")).scalar()
+    else:
+        n_docs = index.totals.select("n_docs").scalar()
+        mean_len = index.totals.select(F.col("total_len").cast("double") / F.col("n_docs")).scalar()
     score = bm25(F.col("tf"), F.col("df"), F.col("doc_len"), n_docs, mean_len)
     return (
         hits.join(F.broadcast(in_docs), "term")
@@ -142,7 +152,12 @@ def search(index: SearchIndex, query: str, columns: list[str], k: int) -> DataFr
     best = best.withColumn("score", F.round("score", 6))
     top = best.orderBy(F.desc("score"), index.key).limit(k)
     wanted = [c for c in columns if c != index.key]
-    if wanted:
+    if wanted and index.documents:
+        # the k rows are known before their documents are opened
+        top = top.sparkSession.createDataFrame(top.collect(), top.schema)
+        docs = index.documents(top.select(index.key))
+        top = docs.select(index.key, *wanted).join(F.broadcast(top), index.key)
+    elif wanted:
         top = index.docs.select(index.key, *wanted).join(F.broadcast(top), index.key)
     return top.select(index.key, *wanted, "score").orderBy(F.desc("score"), index.key).limit(k)
 

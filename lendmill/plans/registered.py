@@ -31,7 +31,7 @@ from lendmill.session import fresh_path, shared_dir
 from lendmill.sources import bronze, files
 from lendmill.sources.buckets import BucketTable
 from lendmill.sources.warehouse import register_view
-from lendmill.streaming.indexing import start_indexing
+from lendmill.streaming.indexing import kept_index, start_indexing
 from lendmill.streaming.landing import ingest_bronze, load_landed, start_load
 from lendmill.streaming.monitor import read_metrics, start_metrics
 
@@ -1579,9 +1579,9 @@ def stream_index(spark, d):
     for part in (documents.filter(english), documents.filter(~english | F.col("lang").isNull())):
         part.write.mode("append").parquet(path)
         start_indexing(
-            spark, path, documents.schema, "text", "doc_id", ["lang", "source"], out, state, None
+            spark, path, documents.schema, "text", "doc_id", ["lang", "source"], out, state, None, buckets=8
         ).awaitTermination()
-    index = retrieval.read_index(spark, out, "doc_id")
+    index = kept_index(spark, documents.schema, "doc_id", ["lang", "source"], out, 8).read()
     return retrieval.search(index, _SEARCH, ["lang", "source"], 10)
 
 
@@ -1603,12 +1603,31 @@ def stream_index_replaced(spark, d):
     ):
         part.write.mode("append").parquet(path)
         start_indexing(
-            spark, path, rows.schema, "text", "doc_id", ["lang", "source"], out, state, None, "gone"
+            spark, path, rows.schema, "text", "doc_id", ["lang", "source"], out, state, None, "gone", 8
         ).awaitTermination()
-    index = retrieval.read_index(spark, out, "doc_id")
+    index = kept_index(spark, rows.schema, "doc_id", ["lang", "source"], out, 8).read()
     return retrieval.search(index, _SEARCH, ["lang", "source"], 10)
 
 
+@query(_TOP_DOCS, extra=_BM25)
+def stream_index_merged(spark, d):
+    """Documents arrive in six batches, many of them again with another text, so that parts are merged
+    and what they superseded is dropped; a last batch takes foreign documents back."""
+    rows = D.table(spark, d, "documents").withColumn("gone", F.lit(False))
+    kept = kept_index(spark, rows.schema, "doc_id", ["lang", "source"], fresh_path(spark, "index"), 8)
+    fifth = F.pmod(F.xxhash64("doc_id"), F.lit(5))
+    wrong = rows.withColumn("text", F.concat(F.lit(f"{_SEARCH} "), "text"))
+    foreign = wrong.filter("doc_id % 50 = 0").withColumn("doc_id", F.col("doc_id") + 10_000_000)
+    parts = [wrong.filter(fifth <= n) for n in range(4)]
+    parts += [foreign.unionByName(rows.filter(fifth == 0)), rows.filter(fifth != 0)]
+    parts.append(foreign.withColumn("gone", F.lit(True)))
+    for number, part in enumerate(parts, 1):
+        index = retrieval.build_index(part, "text", "doc_id", ["lang", "source"], "gone")
+        for _ in range(2):
+            kept.add(index, number)
+    return retrieval.search(kept.read(), _SEARCH, ["lang", "source"], 10)
+
+
 @query(
     """SELECT 'ingest' AS step, table_name AS object, n AS n_rows, 'done' AS status FROM (
          SELECT 'raw_customers' AS table_name, count(*) AS n FROM raw_customers

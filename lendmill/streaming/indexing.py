@@ -8,10 +8,24 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lendmill.operators.history import latest_per_key
-from lendmill.operators.retrieval import build_index, write_index
+from lendmill.operators.retrieval import build_index
+from lendmill.sources.buckets import BUCKETS
+from lendmill.sources.search_index import KeptIndex
 from lendmill.streaming.landing import NO_AGE
 
 
+def kept_index(
+    spark: SparkSession,
+    schema: T.StructType,
+    key: str,
+    attributes: list[str],
+    out: str,
+    buckets: int = BUCKETS,
+) -> KeptIndex:
+    """The index that a stream of documents of a schema keeps under ``out``."""
+    return KeptIndex(spark, out, key, T.StructType([schema[c] for c in (key, *attributes)]), buckets)
+
+
 def start_indexing(
     spark: SparkSession,
     docs_path: str,
@@ -23,17 +37,20 @@ def start_indexing(
     state: str,
     lag: str | None = "1 hour",
     deleted: str | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Index new documents every ``lag``; with ``lag=None`` index what is there and stop.
 
     A document delivered again replaces what was known of it, and one whose ``deleted``
-    column is true is removed. A batch writes an index part of its own; if it runs
-    again after a failure it replaces that part. Within a batch the newest file wins.
+    column is true is removed. A batch is a part of the kept index (``kept_index`` reads it),
+    and parts are merged as they add up; a batch that runs again after a failure is made
+    once. Within a batch the newest file wins.
     """
 
     def add_part(batch: DataFrame, batch_id: int) -> None:
         newest = latest_per_key(batch, key, "_modified", "_file")
-        write_index(build_index(newest, text, key, attributes, deleted), out, batch_id)
+        kept = kept_index(batch.sparkSession, schema, key, attributes, out, buckets)
+        kept.add(build_index(newest, text, key, attributes, deleted), batch_id + 1)
 
     file = [
         F.col("_metadata.file_modification_time").alias("_modified"),
