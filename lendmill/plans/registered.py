@@ -20,6 +20,7 @@ from lendmill.operators import facts, history, ml, retrieval, semantic
 from lendmill.operators import governance as G
 from lendmill.operators import quality as Q
 from lendmill.operators import relations as R
+from lendmill.operators.increments import signed
 from lendmill.operators.lineage import lineage
 from lendmill.plans import analytics as A
 from lendmill.plans import driver_tables as D
@@ -1565,11 +1566,45 @@ def stream_metrics(spark, d):
     for _ in range(2):
         rows.write.mode("append").parquet(path)
         start_metrics(
-            spark, path, "customers", Q.standard_metrics(), out, state
+            spark, path, "customers", Q.standard_metrics(), out, state, buckets=8
         ).awaitTermination()
     return read_metrics(spark, out).select("metric_name", "table_name", "value")
 
 
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS state, metric_name, table_name, value FROM ("
+        + _METRICS.format(at=n, table="customers", src=n) + ")"
+        for n in ("wrong", "stg_customers", "known")
+    ),
+    extra={
+        "wrong": """SELECT customer_id - customer_id % 3 AS customer_id, CAST(NULL AS VARCHAR) AS email, 9 AS credit_score
+                    FROM stg_customers""",
+        "known": "SELECT customer_id, email, credit_score FROM stg_customers WHERE email IS NOT NULL",
+    },
+)
+def stream_metrics_replaced(spark, d):
+    """Customers arrive wrong, are replaced by the right ones, and those without an address are removed."""
+    path, out, state = (fresh_path(spark, n) for n in ("customers", "metrics", "state"))
+    rows = D.customers(spark, d).select("customer_id", "email", "credit_score")
+    wrong = rows.select(
+        (F.col("customer_id") - F.col("customer_id") % 3).alias("customer_id"),
+        F.lit(None).cast("string").alias("email"),
+        F.lit(9).cast("long").alias("credit_score"),
+    )
+    nobody = rows.filter("email IS NULL")
+    steps = (signed(wrong), signed(rows, wrong), signed(rows.limit(0), nobody))
+    for rows in steps:
+        rows.write.mode("append").parquet(path)
+        start_metrics(
+            spark, path, "customers", Q.standard_metrics(), out, state, buckets=8
+        ).awaitTermination()
+    step = F.regexp_extract("_metadata.file_path", "/batch=([0-9]+)/", 1).cast("int")
+    names = F.element_at(F.array(*map(F.lit, ("wrong", "stg_customers", "known"))), step + 1)
+    found = spark.read.parquet(out).select(names.alias("state"), "metric_name", "table_name", "value")
+    return found
+
+
 @query(_TOP_DOCS, extra=_BM25)
 def stream_index(spark, d):
     """Index the English documents, then the others as they arrive, and search."""
