@@ -22,11 +22,14 @@ from lendmill.operators import quality as Q
 from lendmill.operators import relations as R
 from lendmill.operators.increments import signed
 from lendmill.operators.lineage import lineage
+from lendmill.operators.plan_lineage import column_edges
 from lendmill.plans import analytics as A
 from lendmill.plans import driver_tables as D
 from lendmill.plans.daily_refresh import daily_refresh
 from lendmill.plans.history_upkeep import HistoryTable
 from lendmill.plans.mart_upkeep import MartUpkeep
+from lendmill.plans.marts import mart_customer_360 as mart_of_customers
+from lendmill.plans.marts import mart_loan_performance as mart_of_loans
 from lendmill.plans.oracle_views import with_views
 from lendmill.session import fresh_path, shared_dir
 from lendmill.sources import bronze, files
@@ -884,6 +887,56 @@ def lineage_downstream(spark, d):
 # ---- semantic layer ------------------------------------------------------------------
 
 
+# Mart column, staged table and column its values are made of.
+_MART_COLUMNS = {
+    "mart_loan_performance": {
+        "stg_loans": "loan_id customer_id product_segment product_type status dpd dpd_bucket is_default plafond "
+        "outstanding interest_rate disbursed_at",
+        "stg_repayments": "total_due:amount_due total_paid:amount_paid n_late:is_late max_days_late:days_late "
+        "collection_ratio:amount_due collection_ratio:amount_paid",
+    },
+    "mart_customer_360": {
+        "stg_customers": "customer_id full_name segment province city age credit_score monthly_income",
+        "stg_loans": "total_plafond:plafond total_outstanding:outstanding ever_default:is_default",
+        "stg_savings": "total_savings_balance:balance",
+        "stg_transactions": "total_txn_amount:amount",
+    },
+}
+
+
+def _mart_columns_sql() -> str:
+    values = ", ".join(
+        f"('{mart}', '{pair.split(':')[0]}', '{table}', '{pair.split(':')[-1]}')"
+        for mart, tables in _MART_COLUMNS.items()
+        for table, pairs in tables.items()
+        for pair in pairs.split()
+    )
+    return f"""SELECT dst, dst_column, src, src_column, CASE dst WHEN 'mart_loan_performance' THEN
+                 (SELECT count(*) FROM mart_loan_performance) ELSE (SELECT count(*) FROM mart_customer_360) END AS n_rows
+               FROM (VALUES {values}) AS edges(dst, dst_column, src, src_column)"""
+
+
+@query(_mart_columns_sql())
+def lineage_of_marts(spark, d):
+    """Source columns of both marts, found in the plans of the registered views, with the marts' rows."""
+    staged = {
+        "stg_customers": D.customers, "stg_loans": D.loans, "stg_repayments": D.repayments,
+        "stg_savings": D.savings, "stg_transactions": D.transactions,
+    }
+    for name, rows in staged.items():
+        register_view(rows(spark, d), name)
+    stg = {name: spark.table(name) for name in staged}
+    loans = stg["stg_loans"]
+    register_view(mart_of_loans(loans, stg["stg_repayments"]), "mart_loan_performance")
+    people = mart_of_customers(stg["stg_customers"], loans, stg["stg_savings"], stg["stg_transactions"])
+    register_view(people, "mart_customer_360")
+    names = ["mart_loan_performance", "mart_customer_360"]
+    counts = [
+        spark.table(n).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("dst"), "n_rows") for n in names
+    ]
+    return column_edges(spark, names).join(R.union_all(counts), "dst")
+
+
 def _ask(spark, d, metrics, dims, where=None):
     tables = {"loans": D.loan_mart(spark, d), "customers": D.customer_mart(spark, d)}
     return semantic.semantic_query(semantic.LOAN_PORTFOLIO, tables, metrics, dims, where)
