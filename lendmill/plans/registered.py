@@ -1130,6 +1130,34 @@ def ml_leakage(spark, d):
     return out.withColumns({c: F.round(c, 6) for c in ("label_corr", "label_rate_at_zero")})
 
 
+@query(
+    """SELECT rows_of, n_positive, n_negative,
+              CAST(doubled - n_positive * (n_positive + 1) AS DOUBLE) / (2 * CAST(n_positive AS DOUBLE) * n_negative) AS roc_auc
+       FROM (SELECT rows_of, count(*) FILTER (label = 1) AS n_positive, count(*) FILTER (label = 0) AS n_negative,
+                    sum(doubled) FILTER (label = 1) AS doubled FROM score_ranks GROUP BY rows_of)""",
+    extra={
+        "score_rows": """
+            SELECT 'customers' AS rows_of, ever_default AS label, -floor(credit_score / 5) AS score FROM mart_customer_360
+            UNION ALL SELECT 'loans', is_default, dpd FROM mart_loan_performance""",
+        "score_ranks": """
+            SELECT rows_of, label, 2 * rank() OVER (PARTITION BY rows_of ORDER BY score)
+                   + count(*) OVER (PARTITION BY rows_of, score) - 1 AS doubled
+            FROM score_rows WHERE score IS NOT NULL AND label IN (0, 1)""",
+    },
+)
+def ml_auc(spark, d):
+    """How well a low credit score tells customers, and days past due tell loans, that defaulted."""
+    people = D.customer_mart(spark, d).select(
+        F.col("ever_default").alias("label"), (-F.floor(F.col("credit_score") / 5)).alias("score")
+    )
+    loans = D.loan_mart(spark, d).select(F.col("is_default").alias("label"), F.col("dpd").alias("score"))
+    parts = [
+        ml.roc_auc(rows, "label").select(F.lit(name).alias("rows_of"), "n_positive", "n_negative", "roc_auc")
+        for name, rows in (("customers", people), ("loans", loans))
+    ]
+    return R.union_all(parts)
+
+
 def _model(spark, d):
     train, test = ml.split(_features(spark, d), "customer_id")
     return ml.train(train), test
