@@ -1363,6 +1363,44 @@ def ndjson_roundtrip(spark, d):
     return files.read_ndjson(spark, path, saved.schema)
 
 
+@query(
+    """SELECT event_id, k, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS amount, campaign,
+              CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS n_bad, NULL AS line
+       FROM (SELECT event_id, value, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+                    CASE WHEN event_type = 'view' THEN 'c' || user_id % 7 END AS campaign FROM events)
+       UNION ALL SELECT NULL, NULL, NULL, NULL, 0, 'torn {' || event_id FROM events WHERE event_id % 10 = 0""",
+    BIGINT="n_bad",
+    VARCHAR="line",
+)
+def ndjson_variant(spark, d):
+    """Events land as lines with nested properties; some have fields that no schema knows, some an amount
+    that is no number, some lines are torn. They are stored as they are, and read by fields later."""
+    path, out = fresh_path(spark, "lines"), fresh_path(spark, "variants")
+    events = D.table(spark, d, "events")
+    broken = F.col("event_id") % 3 == 0
+    extra = F.when(
+        F.col("event_type") == "view",
+        F.struct(F.concat(F.lit("c"), (F.col("user_id") % 7).cast("string")).alias("campaign")),
+    )
+    amount = F.when(broken, "unknown")
+    line = F.struct(
+        "event_id",
+        F.parse_json("props").alias("props"),
+        F.when(broken, F.to_variant_object(F.array(amount))).otherwise(F.parse_json(F.col("value").cast("string"))).alias("amount"),
+        extra.alias("extra"),
+    )
+    lines = events.select(F.to_json(line).alias("value"))
+    torn = events.filter("event_id % 10 = 0").select(F.concat(F.lit("torn {"), "event_id").alias("value"))
+    lines.unionByName(torn).write.text(path)
+    files.read_ndjson_variant(spark, path).write.parquet(out)
+    fields = {
+        "event_id": ("$.event_id", "bigint"), "k": ("$.props.k", "bigint"),
+        "amount": ("$.amount", "double"), "campaign": ("$.extra.campaign", "string"),
+    }
+    found = files.variant_fields(spark.read.parquet(out), fields)
+    return found.select(*fields, F.size("_bad_columns").cast("long").alias("n_bad"), F.col("_line").alias("line"))
+
+
 @query(
     "SELECT txn_id, account_id, txn_type, amount, txn_ts FROM stg_transactions",
     DOUBLE="amount",

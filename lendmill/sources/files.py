@@ -90,6 +90,37 @@ def read_ndjson(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", "false").json(path)
 
 
+def read_ndjson_variant(spark: SparkSession, path) -> DataFrame:
+    """One JSON value per line, of any shape, as it is: ``value`` keeps all fields, known or not.
+
+    A line that is no JSON has no value and keeps its text in ``_line``; empty lines are none.
+    The value can be stored as it is; ``variant_fields`` takes fields out of it whenever they are asked for.
+    """
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = lines.select(F.try_parse_json("value").alias("parsed"), F.col("value").alias("_text"))
+    return parsed.select(
+        F.col("parsed").alias("value"), F.when(F.col("parsed").isNull(), F.col("_text")).alias(LINE)
+    )
+
+
+def variant_fields(rows: DataFrame, fields: dict[str, tuple[str, str]], value: str = "value") -> DataFrame:
+    """The rows with typed columns taken out of a variant: result name -> (path, type).
+
+    A path that a row lacks, or that holds JSON's null, gives NULL. One that holds something which does not convert
+    gives NULL too, and its name stands in ``_bad_columns``, so that nothing is lost unseen.
+    """
+    found = {n: F.try_variant_get(value, path, kind) for n, (path, kind) in fields.items()}
+    bad = [
+        F.when(F.try_variant_get(value, path, "variant").isNotNull()
+               & ~F.is_variant_null(F.try_variant_get(value, path, "variant")) & found[n].isNull(), F.lit(n))
+        for n, (path, _) in fields.items()
+    ]
+    kept = [c for c in rows.columns if c not in found]
+    return rows.select(
+        *kept, *[c.alias(n) for n, c in found.items()], F.array_compact(F.array(*bad)).alias("_bad_columns")
+    )
+
+
 def list_files(spark: SparkSession, path) -> DataFrame:
     """Manifest of the files under a path: name, size and time; contents are not read."""
     return (

@@ -349,3 +349,24 @@ def test_a_reload_that_died_does_not_count(spark, landing, tmp_path, monkeypatch
     assert len(bronze.load_names(spark, out)) == 2
     pairs = LG.superseded(LG.read_ledger(spark, out))
     assert bronze.read_retracted(spark, out, pairs).count() == 6
+
+
+def test_rows_of_unknown_shape(spark, tmp_path):
+    lines = ['{"id": 1, "a": {"b": "7"}, "new": [1, 2]}', '{"id": "x", "a": null}', "[1, 2]", "5", "torn {", "", '{"id": 9.5, "id2": 1}']
+    (tmp_path / "v.json").write_text("\n".join(lines) + "\n")
+    files.read_ndjson_variant(spark, f"{tmp_path}/v.json").write.parquet(f"{tmp_path}/kept")
+    kept = spark.read.parquet(f"{tmp_path}/kept")
+    fields = {"id": ("$.id", "bigint"), "b": ("$.a.b", "int"), "second": ("$.new[1]", "int"), "a": ("$.a", "string")}
+    got = files.variant_fields(kept, fields).select("id", "b", "second", "a", "_line", "_bad_columns")
+    assert rows(got) == sorted(
+        [
+            (1, 7, 2, '{"b":"7"}', None, []),
+            (None, None, None, None, None, ["id"]),
+            (None, None, None, None, None, []),
+            (None, None, None, None, None, []),
+            (None, None, None, None, "torn {", []),
+            (9, None, None, None, None, []),
+        ],
+        key=repr,
+    )
+    assert files.variant_fields(kept.filter("false"), fields).count() == 0
