@@ -163,7 +163,7 @@ def _failures(
     the tables that refer to it are counted along: one shuffle tells repeated keys
     and orphans. Row-wise failures ride along as sums.
     """
-    flags = {n: _row_rule(t).cast("long").alias(n) for n, t in by_row.items()}
+    flags = {n: row_rule(t).cast("long").alias(n) for n, t in by_row.items()}
     if key is None:
         return df.select(*flags.values())
     own = {n: F.lit(0).cast("long").alias(n) for n in (*by_row, *children)}
@@ -215,7 +215,8 @@ def run_tests(tables: dict[str, DataFrame], tests: list[ColumnTest]) -> DataFram
     return found.withColumn("status", status)
 
 
-def _row_rule(t: ColumnTest) -> Column:
+def row_rule(t: ColumnTest) -> Column:
+    """Whether a row fails a row-wise test."""
     c = F.col(t.column)
     return c.isNull() if t.kind == "not_null" else K.not_accepted(c, t.values)
 

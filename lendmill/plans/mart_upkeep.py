@@ -23,7 +23,6 @@ the day, so the customer mart keeps the date of birth and tells the age when it
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +34,7 @@ from lendmill.operators.history import latest_per_key
 from lendmill.operators.increments import SIGN
 from lendmill.operators.relations import union_all, zero_filled
 from lendmill.plans.marts import mart_customer_360, mart_loan_performance
-from lendmill.sources.buckets import BUCKETS, BucketTable
+from lendmill.sources.buckets import BUCKETS, BucketTable, side_by_side
 from lendmill.sources.warehouse import target_path
 
 #: Of the rows of one loan or customer the newest counts; the whole row decides between equal times.
@@ -182,14 +181,14 @@ class MartUpkeep:
         add(self.account_rows, accounts, "account_id", "customer_id")
         txn = delta("raw_transactions", lambda r: I.signed_sums(r, "account_id", {"amount": "amount"}))
         add(self.txn_sums, txn, "account_id")
-        _side_by_side(steps)
+        side_by_side(steps)
 
         def newest(rows: BucketTable, now: BucketTable) -> Callable[[], object]:
             keys = rows.changes(number).select(rows.key).distinct()
             return lambda: now.rewrite(keys, number, lambda old, keys: self._newest(rows, old, keys))
 
         kept = ((self.loan_rows, self.loans_now), (self.customer_rows, self.customers_now))
-        _side_by_side([newest(rows, now) for rows, now in kept if self._source(rows) in raw])
+        side_by_side([newest(rows, now) for rows, now in kept if self._source(rows) in raw])
 
         # from here on keys come from the changes as they were written above
         def touched(*tables: tuple[BucketTable, str], key: str) -> DataFrame:
@@ -206,7 +205,7 @@ class MartUpkeep:
         steps = []
         add(self.customer_sums, gains, "customer_id")
         add(self.customer_flags, flags, "customer_id", "value")
-        _side_by_side(steps)
+        side_by_side(steps)
 
         loans = touched(
             (self.loan_rows, "raw_loans"), (self.repay_sums, "raw_repayments"), key="loan_id"
@@ -214,7 +213,7 @@ class MartUpkeep:
         sums = [t.changes(number).select("customer_id") for t in (self.customer_sums, self.customer_flags)]
         people = touched((self.customer_rows, "raw_customers"), key="customer_id")
         people = union_all([*sums, people]).distinct()
-        _side_by_side(
+        side_by_side(
             [
                 lambda: self.loan_mart_table.rewrite(loans, number, self._loan_mart_rows),
                 lambda: self.customer_mart_table.rewrite(people, number, self._customer_mart_rows),
@@ -310,14 +309,6 @@ class MartUpkeep:
         return rows.select([F.col(f.name).cast(f.dataType) for f in self._customer_mart_like.schema])
 
 
-def _side_by_side(steps: list[Callable[[], object]]) -> None:
-    """Independent tables are written at the same time."""
-    if steps:
-        with ThreadPoolExecutor(len(steps)) as pool:
-            for done in [pool.submit(step) for step in steps]:
-                done.result()
-
-
 def _with_id(rows: DataFrame) -> DataFrame:
     """Signed loan rows without those that staging drops."""
     return rows.filter(F.col("loan_id").isNotNull())

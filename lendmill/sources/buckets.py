@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -153,3 +154,11 @@ def added(rows: DataFrame, *same: str) -> DataFrame:
         F.sum(f.name).cast(f.dataType).alias(f.name) for f in rows.schema if f.name not in same
     ]
     return rows.groupBy(*same).agg(*sums).filter("n_rows <> 0")
+
+
+def side_by_side(steps: list[Callable[[], object]]) -> list:
+    """Independent tables are written at the same time."""
+    if not steps:
+        return []
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [done.result() for done in [pool.submit(step) for step in steps]]
