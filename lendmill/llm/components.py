@@ -3,7 +3,8 @@
 Every round replaces links by links to smaller nodes: first each node's larger
 neighbours are hung on its smallest neighbour, then each node and its smaller
 neighbours are. A round is two grouped minima and two joins, so a node with very
-many links costs one row per task in the minimum and is split in the join. The
+many links costs one row per task in the minimum. In the join its links meet in one task,
+unless Spark's adaptive execution splits it, which it does from some tens of megabytes on. The
 number of rounds grows with the logarithm of the longest chain. Nothing but two
 numbers per round reaches the driver; each round is written to the checkpoint folder.
 """

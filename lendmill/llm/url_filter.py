@@ -7,8 +7,8 @@ over the URLs to be judged. A URL's tokens fetch candidate rules, and only those
 as regular expressions. A rule without such a token is fetched by every URL. Of the
 rules that fit, higher ``priority``, then the longer host and path wins; then block.
 
-How it runs: equal rows are judged once and expanded again, so a URL in a third of all
-rows is one. The index is broadcast if its rows are few, counted first; a larger one is
+How it runs: rows equal in key and URL are judged once and expanded again; one URL under many
+keys is judged for each, in as many tasks. The index is broadcast if its rows are few, counted first; a larger one is
 joined by token and a part of the URL's hash, so that a token every URL has is spread.
 
 Defined results: null URL, or one without ``://``: host and path empty, and only rules
