@@ -99,14 +99,18 @@ def raw_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderkey") % 97 == 0, F.col("o_custkey") + 5_000_000_000)
         .otherwise(F.col("o_custkey"))
         .alias("customer_id"),
-        _mapped("o_orderpriority", PRODUCT_OF, F.lit(None).cast("string")).alias("product_type"),
+        # nearly, but not quite, the product lines
+        F.when(F.col("o_orderkey") % 23 == 1, "Tunai E")
+        .when(F.col("o_orderkey") % 23 == 2, "SM B F")
+        .otherwise(_mapped("o_orderpriority", PRODUCT_OF, F.lit(None).cast("string")))
+        .alias("product_type"),
         price.alias("plafond"),
         (F.col("o_orderkey") % 6 * 6 + 6).alias("tenor_months"),
         (F.col("o_orderkey") % 25 + 12).cast("double").alias("interest_rate"),
         F.col("o_orderdate").cast("date").alias("disbursed_at"),
         _mapped("o_orderstatus", STATUS_OF, status).alias("status"),
         F.when(status == "O", 0)
-        .when(~unknown_dpd, F.col("o_orderkey") % 131)
+        .when(~unknown_dpd, F.col("o_orderkey") % 131 - 5)
         .cast("long")
         .alias("dpd"),
         (status == "F").cast("long").alias("is_default"),

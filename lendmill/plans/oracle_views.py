@@ -28,8 +28,9 @@ VIEWS: dict[str, str] = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "raw_loans": """
         SELECT o_orderkey AS loan_id, o_custkey + 5000000000 * CAST(o_orderkey % 97 = 0 AS BIGINT) AS customer_id,
+               CASE WHEN o_orderkey % 23 = 1 THEN 'Tunai E' WHEN o_orderkey % 23 = 2 THEN 'SM B F' ELSE
                CASE o_orderpriority WHEN '1-URGENT' THEN 'Tunaiku A' WHEN '2-HIGH' THEN 'tunaiku B'
-                    WHEN '3-MEDIUM' THEN 'SMB C' WHEN '4-NOT SPECIFIED' THEN 'smb D' END AS product_type,
+                    WHEN '3-MEDIUM' THEN 'SMB C' WHEN '4-NOT SPECIFIED' THEN 'smb D' END END AS product_type,
                CAST(o_totalprice AS DECIMAL(18,2)) AS plafond,
                o_orderkey % 6 * 6 + 6 AS tenor_months,
                CAST(o_orderkey % 25 + 12 AS DOUBLE) AS interest_rate,
@@ -37,7 +38,7 @@ VIEWS: dict[str, str] = {
                CASE o_orderstatus WHEN 'O' THEN 'LANCAR' WHEN 'P' THEN 'LUNAS' WHEN 'F' THEN 'DPD90' ELSE o_orderstatus END AS status,
                CASE WHEN o_orderstatus = 'O' THEN 0
                     WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL
-                    ELSE o_orderkey % 131 END AS dpd,
+                    ELSE o_orderkey % 131 - 5 END AS dpd,
                CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS BIGINT) AS is_default,
                CASE WHEN o_orderstatus = 'P' THEN CAST(0 AS DECIMAL(18,2))
                     ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS outstanding,
@@ -74,9 +75,10 @@ VIEWS: dict[str, str] = {
                year(DATE '2026-06-30') - year(birth_date) AS age
         FROM raw_customers WHERE customer_id IS NOT NULL""",
     "stg_loans": """
-        SELECT *, CASE left(lower(product_type), 3) WHEN 'tun' THEN 'Tunaiku' WHEN 'smb' THEN 'SMB' ELSE 'Other' END AS product_segment,
-               CASE WHEN dpd <= 90 THEN ['CURRENT', 'DPD_1_30', 'DPD_31_60', 'DPD_61_90'][1 + (dpd + 29) // 30]
-                    ELSE 'DPD_90_PLUS' END AS dpd_bucket
+        SELECT *, CASE WHEN starts_with(lower(product_type), 'tunaiku') THEN 'Tunaiku'
+                       WHEN starts_with(lower(product_type), 'smb') THEN 'SMB' ELSE 'Other' END AS product_segment,
+               CASE WHEN dpd = 0 THEN 'CURRENT' WHEN dpd <= 30 THEN 'DPD_1_30' WHEN dpd <= 60 THEN 'DPD_31_60'
+                    WHEN dpd <= 90 THEN 'DPD_61_90' ELSE 'DPD_90_PLUS' END AS dpd_bucket
         FROM raw_loans WHERE loan_id IS NOT NULL""",
     "stg_repayments": """
         SELECT *, amount_due - amount_paid AS shortfall, date_diff('day', due_date, paid_date) AS days_late

@@ -297,10 +297,11 @@ def txn_with_owner(spark, d):
 _GATE = """SELECT *, bad_nik + bad_credit_score + duplicate_customer_id + null_segment + orphan_loans AS total_issues
            FROM (SELECT count(*) FILTER (WHERE NOT regexp_full_match(nik, '[0-9]{{16}}')) AS bad_nik,
                         count(*) FILTER (WHERE credit_score NOT BETWEEN 300 AND 850) AS bad_credit_score,
-                        count(*) FILTER (WHERE ifnull(segment, '') = '') AS null_segment FROM {c})
+                        count(*) FILTER (WHERE segment IS NULL OR segment = '') AS null_segment FROM {c})
            CROSS JOIN (SELECT count(*) AS duplicate_customer_id FROM (
-                         SELECT customer_id FROM {c} GROUP BY ALL HAVING count(*) > 1))
-           CROSS JOIN (SELECT count(*) AS orphan_loans FROM stg_loans ANTI JOIN {c} USING (customer_id))"""
+                         SELECT customer_id FROM {c} GROUP BY customer_id HAVING count(*) > 1))
+           CROSS JOIN (SELECT count(*) AS orphan_loans FROM stg_loans
+                       WHERE customer_id IS NULL OR customer_id NOT IN (SELECT customer_id FROM {c}))"""
 _VERDICT = """SELECT *, CASE WHEN total_issues = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
                      CASE WHEN total_issues > 0 THEN 1 END AS raised FROM ({gate})"""
 
@@ -365,7 +366,7 @@ def _tests_sql() -> str:
     failing = {
         "not_null": "SELECT count(*) FROM {t} WHERE {c} IS NULL",
         "unique": "SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)",
-        "accepted_values": "SELECT count(*) FROM {t} WHERE {c} NOT IN ( {rest} )",
+        "accepted_values": "SELECT count(*) FROM {t} WHERE {c} NOT IN ({rest})",
         "relationships": "SELECT count(*) FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM {rest})",
     }
     parts = [
@@ -608,7 +609,7 @@ def change_detection(spark, d):
         FROM snapshot s JOIN changes g ON s.customer_id = g.customer_id
         UNION ALL
         SELECT l.*, '{_SECOND}', NULL, 1 FROM later l JOIN changes g ON l.customer_id = g.customer_id
-        WHERE g.change IN ( 'changed', 'new' )""",
+        WHERE g.change IN ('changed', 'new')""",
     extra=_VERSIONS,
     BIGINT="is_current",
 )
