@@ -7,7 +7,7 @@ import plain
 import pytest
 
 from lendmill.llm import wordspans
-from lendmill.llm.components import components
+from lendmill.llm.components import SALTS, _told, components
 from lendmill.llm.simhash import (
     _forest,
     _replicate,
@@ -148,6 +148,38 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     assert len(found) == 265
 
 
+def test_components_of_any_links(spark):
+    """Against union by walking: hubs at both ends of the order, chains, repeats, both directions."""
+    rng = random.Random(11)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(220)]
+    links += [(500, i) for i in range(501, 700)] + [(999, i) for i in range(700, 900)] + [(900, 999), (900, 901)]
+    near = {}
+    for a, b in links:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    expected = {}
+    for node in sorted(near):
+        todo = [node]
+        while todo:
+            at = todo.pop()
+            if at not in expected:
+                expected[at] = node
+                todo.extend(near[at])
+    found = components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()
+    assert {r.node: r.root for r in found} == expected and len(found) == len(expected)
+
+
+def test_a_hub_is_dealt_to_groups(spark):
+    """No task of the join holds the links of a hub: each of its groups has a small share."""
+    stars = spark.range(1, 6401).selectExpr("id as node", "0L as root")
+    low = spark.createDataFrame([(0, -1)], "root long, low long")
+    told = _told(stars, "root", "node", low)
+    sizes = [r["count"] for r in told.groupBy("root", "salt").count().collect()]
+    assert sum(sizes) == 6400 and len(sizes) == SALTS and max(sizes) < 200
+    assert told.where("low = -1").count() == 6400
+
+
 def test_no_links(spark):
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").collect() == []
 
