@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lendmill import fixed_values as V
 from lendmill.functions import checks as K
+from lendmill.functions.cleaning import hours_before
 from lendmill.operators.relations import repeated_keys, union_all
 
 
@@ -104,6 +105,23 @@ def freshness(
     return newest.withColumn("age_hours", age).withColumn("status", status)
 
 
+def arrived_within(df: DataFrame, as_of, hours: int = 1, ts: str = "_loaded_at") -> DataFrame:
+    """Rows of the last hours up to ``as_of``: the earliest instant counts, later rows and
+    rows without a time do not. Both bounds are constants, so they reach the scan."""
+    now = F.lit(as_of).cast("timestamp_ntz")
+    return df.filter((F.col(ts) >= hours_before(now, hours)) & (F.col(ts) <= now))
+
+
+def arrivals_per_hour(df: DataFrame, as_of, hours: int = 1, ts: str = "_loaded_at") -> DataFrame:
+    """``arrived_hour``, ``n_rows`` and ``last_arrival`` of the last hours up to ``as_of``;
+    an hour without rows has no row."""
+    return (
+        arrived_within(df, as_of, hours, ts)
+        .groupBy(F.date_trunc("hour", ts).cast("timestamp_ntz").alias("arrived_hour"))
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.max(ts).cast("timestamp_ntz").alias("last_arrival"))
+    )
+
+
 # ---- declarative column tests ------------------------------------------------
 
 

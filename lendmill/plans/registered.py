@@ -437,6 +437,17 @@ def freshness(spark, d):
     return out.withColumn("age_hours", F.round("age_hours", 6))
 
 
+@query(
+    f"""SELECT date_trunc('hour', txn_ts) AS arrived_hour, count(*) AS n_rows, max(txn_ts) AS last_arrival
+        FROM stg_transactions
+        WHERE txn_ts BETWEEN TIMESTAMP '{_FRESH_AT}' - INTERVAL 72 HOUR AND TIMESTAMP '{_FRESH_AT}'
+        GROUP BY 1""",
+    VARCHAR="arrived_hour last_arrival",
+)
+def arrivals_per_hour(spark, d):
+    return Q.arrivals_per_hour(D.transactions(spark, d), _FRESH_AT, hours=72, ts="txn_ts")
+
+
 _METRICS = """SELECT '{at}' AS measurement_time, metric_name, '{table}' AS table_name, value FROM (
     SELECT 'null_count' AS metric_name, count(*) AS value FROM {src} WHERE email IS NULL
     UNION ALL SELECT 'duplicate_count', count(customer_id) - count(DISTINCT customer_id) FROM {src}

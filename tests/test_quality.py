@@ -129,3 +129,23 @@ def test_freshness(spark, hours, expected):
 def test_a_table_never_loaded_is_stale(spark):
     df = spark.createDataFrame([], "_loaded_at timestamp_ntz")
     assert Q.freshness(df, "2026-01-10").first()["status"] == "error"
+
+
+def test_arrivals_of_the_last_hours(spark, tmp_path):
+    """Both edges count; earlier, later and missing times do not; both bounds reach the scan."""
+    at = dt.datetime(2026, 1, 10, 12)
+    minutes = [0, 30, 60, 119, 120, 121, -1]
+    data = [(at - dt.timedelta(minutes=m),) for m in minutes] + [(None,)]
+    spark.createDataFrame(data, "_loaded_at timestamp_ntz").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    kept = Q.arrived_within(df, "2026-01-10 12:00:00", hours=2)
+    assert sorted(r[0] for r in kept.collect()) == sorted(at - dt.timedelta(minutes=m) for m in minutes[:5])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(_loaded_at,2026-01-10T10:00" in plan
+    found = Q.arrivals_per_hour(df, "2026-01-10 12:00:00", hours=2).collect()
+    assert {(r.arrived_hour.hour, r.n_rows, r.last_arrival) for r in found} == {
+        (12, 1, at),
+        (11, 2, at - dt.timedelta(minutes=30)),
+        (10, 2, at - dt.timedelta(minutes=119)),
+    }
+    assert Q.arrivals_per_hour(df.where("false"), "2026-01-10").collect() == []
