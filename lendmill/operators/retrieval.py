@@ -15,14 +15,18 @@ from lendmill.functions.text import tokens
 # Columns of stored documents beside key, length and attributes.
 WORDS, GONE = "_words", "_gone"
 
+# What a document's row holds beside key and length where its postings are in the same table.
+DOCUMENT = "_document"
+
 
 @dataclass(frozen=True)
 class SearchIndex:
     """``postings``: term, key, doc_len, tf. ``docs``: key, doc_len and attributes.
 
-    ``counted`` is what both come from: the documents with their words counted. An index
-    that is kept up brings its ``totals`` (n_docs, total_len), one row, and ``documents``, which
-    fetches the documents of a few keys without reading all.
+    ``counted`` is what both come from: the documents with their words counted. ``together`` holds
+    both, made in one pass over the texts: a document's row has no term, a posting's no ``DOCUMENT``.
+    An index that is kept up brings its ``totals`` (n_docs, total_len), one row, and ``documents``,
+    which fetches the documents of a few keys without reading all.
     """
 
     postings: DataFrame
@@ -31,6 +35,7 @@ class SearchIndex:
     counted: DataFrame | None = None
     totals: DataFrame | None = None
     documents: Callable[[DataFrame], DataFrame] | None = None
+    together: DataFrame | None = None
 
 
 def postings_of(counted: DataFrame, key: str, *more: str) -> DataFrame:
@@ -71,9 +76,30 @@ def build_index(
         ),
     )
     rows = starts.select(key, "doc_len", *attributes, GONE, counted.alias(WORDS))
-    kept = rows.filter(~F.col(GONE)) if deleted else rows
+    together = _together(starts, key, attributes)
+    postings = together.filter(F.col("term").isNotNull()).select("term", key, "doc_len", "tf")
     plain = split.filter(~F.col(GONE)) if deleted else split
-    return SearchIndex(postings_of(kept, key), plain.select(key, length, *attributes), key, rows)
+    return SearchIndex(postings, plain.select(key, length, *attributes), key, rows, together=together)
+
+
+def _together(starts: DataFrame, key: str, attributes: list[str]) -> DataFrame:
+    """A row per document and a row per document and word, told by the term.
+
+    Only the places where a word starts are exploded; word and count are looked up from there,
+    outside any lambda.
+    """
+    places = F.concat(F.array(F.lit(-1)), F.coalesce("_starts", F.array().cast("array<int>")))
+    # The outer form keeps Spark from splitting each text twice to drop empty ones.
+    placed = starts.select("*", F.posexplode_outer(places).alias("_next", "_at"))
+    is_word = F.col("_at") >= 0
+    end = F.coalesce(F.get("_starts", F.col("_next")), F.col("doc_len"))
+    return placed.select(
+        F.when(is_word, F.get("_sorted", F.col("_at"))).alias("term"),
+        key,
+        "doc_len",
+        F.when(is_word, (end - F.col("_at")).cast("long")).alias("tf"),
+        F.when(~is_word, F.struct(*attributes, GONE)).alias(DOCUMENT),
+    )
 
 
 def write_index(index: SearchIndex, path: str, part: int = 0) -> None:

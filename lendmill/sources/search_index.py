@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendmill.operators.retrieval import GONE, WORDS, SearchIndex, postings_of
+from lendmill.operators.retrieval import DOCUMENT, GONE, SearchIndex
 from lendmill.sources.buckets import BUCKETS, BucketTable
 
 #: So many parts of about one size are merged into one, which is about that much larger.
@@ -29,8 +29,9 @@ class KeptIndex:
     ones by the short list, takes totals from a few rows, and opens the buckets of the
     documents it returns; no search and no batch reads all documents.
 
-    Of a tier of ``FANOUT`` parts one is made, sorted by term across files and without the dead,
-    which then leave the list. Parts in force are listed, and a list is published whole: a
+    A batch's documents stand in front of its postings in the same files, so that texts are gone
+    through and written once. Of a tier of ``FANOUT`` parts one is made, sorted by term across files
+    and without the dead, which then leave the list. Parts in force are listed, and a list is published whole: a
     job that dies before leaves the list before in force, and a batch that comes again is
     made again or, if it was published, not at all.
     """
@@ -49,6 +50,8 @@ class KeptIndex:
             _DEAD: T.StructType([like[key], T.StructField(_ORIGIN, T.LongType())]),
             _TOTALS: T.StructType.fromDDL("n_docs long, total_len long"),
         }
+        document = [like[c] for c in self.attributes] + [T.StructField(GONE, T.BooleanType())]
+        self._batch = T.StructType([*self._schemas[_POSTINGS], T.StructField(DOCUMENT, T.StructType(document))])
 
     # ---- the list of parts ------------------------------------------------------
 
@@ -85,14 +88,21 @@ class KeptIndex:
         folders = [f"{self.path}/{e['folder']}" for e in entries if e["kind"] == kind]
         if not folders:
             return self.spark.createDataFrame([], self._schemas[kind])
-        return self.spark.read.schema(self._schemas[kind]).parquet(*folders)
-
-    def _store(self, kind: str, rows: DataFrame, name: str, origins: list[int]) -> dict:
-        folder = f"{kind}/{name}"
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self._schemas[kind]]
-        rows.select(columns).write.mode("overwrite").parquet(f"{self.path}/{folder}")
-        stored = self.spark.read.schema(self._schemas[kind]).parquet(f"{self.path}/{folder}")
-        return {"kind": kind, "folder": folder, "n_rows": stored.count(), "origins": origins}
+        stored = self.spark.read.schema(self._schemas[kind]).parquet(*folders)
+        return stored.filter(F.col("term").isNotNull()) if kind == _POSTINGS else stored
+
+    def _came(self, folders: list[str]) -> DataFrame:
+        """The documents of batches, as they came, from the files of their postings."""
+        stored = self.spark.read.schema(self._batch).parquet(*[f"{self.path}/{f}" for f in folders])
+        return stored.filter(F.col("term").isNull()).select(self.key, "doc_len", f"{DOCUMENT}.*", _ORIGIN)
+
+    def _store(
+        self, kind: str, rows: DataFrame, name: str, origins: list[int], schema: T.StructType | None = None
+    ) -> dict:
+        entry = {"kind": kind, "folder": f"{kind}/{name}", "origins": origins}
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema or self._schemas[kind]]
+        rows.select(columns).write.mode("overwrite").parquet(f"{self.path}/{entry['folder']}")
+        return entry | {"n_rows": self._read(kind, [entry]).count()}
 
     # ---- batches ----------------------------------------------------------------
 
@@ -100,15 +110,13 @@ class KeptIndex:
         """Take in a numbered batch of documents, one row each; numbers rise from 1."""
         if self._last()[1] >= batch:
             return
-        # texts are split once: documents are written with their words counted
-        incoming = f"{self.path}/incoming/batch={batch}"
-        index.counted.write.mode("overwrite").parquet(incoming)
-        came = self.spark.read.schema(index.counted.schema).parquet(incoming)
-        kept = came.filter(~F.col(GONE)).withColumn(_ORIGIN, F.lit(batch).cast("long"))
+        name = f"batch={batch}"
+        rows = index.together.withColumn(_ORIGIN, F.lit(batch)).sortWithinPartitions("term")
+        part = self._store(_POSTINGS, rows, name, [batch], self._batch)
+        came = self._came([part["folder"]])
+        kept = came.filter(~F.col(GONE))
         keys = came.select(self.key)
         was = self.live.read(self.live.touched(keys), before=batch).join(keys, self.key, "left_semi")
-        name = f"batch={batch}"
-        terms = postings_of(kept, self.key, _ORIGIN).sortWithinPartitions("term")
 
         def sums(rows: DataFrame, sign: int) -> DataFrame:
             length = F.coalesce(F.sum("doc_len"), F.lit(0))
@@ -118,12 +126,12 @@ class KeptIndex:
             F.sum("n_docs").alias("n_docs"), F.sum("total_len").alias("total_len")
         )
         made = [
-            self._store(_POSTINGS, terms, name, [batch]),
+            part,
             self._store(_DEAD, was.select(self.key, _ORIGIN), name, []),
             self._store(_TOTALS, totals, name, []),
         ]
         entries = self.entries()
-        self.live.rewrite(came.drop(WORDS).withColumn(_ORIGIN, F.lit(batch).cast("long")), batch, self._alive)
+        self.live.rewrite(came, batch, self._alive)
         self._publish(entries + [e for e in made if e["n_rows"]], batch)
         while self._merge(batch):
             pass

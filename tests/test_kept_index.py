@@ -101,3 +101,25 @@ def test_a_search_reads_terms_and_few_documents(spark, tmp_path):
     found = R.search(index.read(), "w7", ["tag"], 3).collect()
     assert [(r["id"], r["tag"]) for r in found] == [(7, "x")]
     assert [len(x) for x in asked if x is not None] == [1]
+
+
+def test_words_of_a_batch_are_written_once(spark, tmp_path):
+    """Documents and postings come from one pass; attributes may have any name."""
+    like = T.StructType.fromDDL("id int, term string, tf long")
+    index = KeptIndex(spark, str(tmp_path / "i"), "id", like, buckets=4)
+    docs = [(1, "a b a", "x", 7, False), (2, "", None, 8, False), (3, None, "z", None, False), (4, "a", "x", 1, True)]
+    found = spark.createDataFrame(docs, "id int, t string, term string, tf long, gone boolean")
+    index.add(R.build_index(found, "t", "id", ["term", "tf"], "gone"), 1)
+    with_words = {
+        str(f.parent)
+        for f in (tmp_path / "i").rglob("*.parquet")
+        if {"term", "_words"} & set(spark.read.parquet(str(f)).columns) and "live" not in f.parts
+    }
+    assert len(with_words) == 1
+    read = index.read()
+    assert sorted(map(tuple, read.docs.select("id", "doc_len", "term", "tf").collect())) == [
+        (1, 3, "x", 7), (2, 0, None, 8), (3, 0, "z", None),
+    ]
+    assert sorted(map(tuple, read.postings.select("id", "term", "tf", "doc_len").collect())) == [
+        (1, "a", 2, 3), (1, "b", 1, 3),
+    ]
