@@ -15,6 +15,9 @@ from lendmill.sources.buckets import BUCKETS, BucketTable
 #: So many parts of about one size are merged into one, which is about that much larger.
 FANOUT = 4
 
+#: So many dead documents go whole to every executor when parts are merged; more are shuffled.
+FEW_DEAD = 500_000
+
 _ORIGIN = "_origin"
 _ENTRY = "kind string, folder string, n_rows long, origins array<long>"
 _POSTINGS, _DEAD, _TOTALS = "postings", "dead", "totals"
@@ -30,8 +33,9 @@ class KeptIndex:
     documents it returns; no search and no batch reads all documents.
 
     A batch's documents stand in front of its postings in the same files, so that texts are gone
-    through and written once. Of a tier of ``FANOUT`` parts one is made, sorted by term across files
-    and without the dead, which then leave the list. Parts in force are listed, and a list is published whole: a
+    through and written once. Of a tier of ``FANOUT`` parts one is made, a term in one file or few,
+    sorted by term and without the dead, which then leave the list; a part whose documents are all
+    dead is dropped unread. Parts in force are listed, and a list is published whole: a
     job that dies before leaves the list before in force, and a batch that comes again is
     made again or, if it was published, not at all.
     """
@@ -152,8 +156,7 @@ class KeptIndex:
         name = f"merge={self._last()[0] + 1}"
         origins = sorted({o for e in full[0] for o in e["origins"]})
         dead = self._read(_DEAD, entries)
-        rows = self._read(_POSTINGS, full[0]).join(dead, [self.key, _ORIGIN], "left_anti")
-        rows = rows.repartitionByRange("term", self.key).sortWithinPartitions("term")
+        rows = self._without(dead, full[0]).hint("rebalance", "term").sortWithinPartitions("term")
         totals = self._read(_TOTALS, entries).agg(
             F.sum("n_docs").alias("n_docs"), F.sum("total_len").alias("total_len")
         )
@@ -167,6 +170,25 @@ class KeptIndex:
         self._publish(kept + [e for e in made if e["n_rows"]], batch)
         return True
 
+    def _without(self, dead: DataFrame, parts: list[dict]) -> DataFrame:
+        """The postings of parts without those of dead documents."""
+        origin, single = F.col(_ORIGIN), [e for e in parts if e["folder"] == f"{_POSTINGS}/batch={e['origins'][0]}"]
+
+        def per_origin(rows: DataFrame) -> dict[int, int]:
+            return {r[_ORIGIN]: r["count"] for r in rows.groupBy(_ORIGIN).count().collect()}  # a row per batch
+
+        n_dead = per_origin(dead.filter(origin.isin([o for e in parts for o in e["origins"]])))
+        n_docs = per_origin(self._came([e["folder"] for e in single]).filter(~F.col(GONE))) if single else {}
+        gone = [o for o, n in n_docs.items() if n_dead.get(o) == n]
+        left = [e for e in parts if e["origins"] not in [[o] for o in gone]]
+        origins = [o for e in left for o in e["origins"] if o in n_dead]
+        rows, some = self._read(_POSTINGS, left), sum(n_dead[o] for o in origins)
+        if not some:
+            return rows
+        # a posting is one of many of its document: where they must be shuffled, they need not be sorted too
+        dead = dead.filter(origin.isin(origins)).hint("broadcast" if some <= FEW_DEAD else "shuffle_hash")
+        return rows.join(dead, [self.key, _ORIGIN], "left_anti")
+
     # ---- searches ---------------------------------------------------------------
 
     def read(self) -> SearchIndex:

@@ -123,3 +123,44 @@ def test_words_of_a_batch_are_written_once(spark, tmp_path):
     assert sorted(map(tuple, read.postings.select("id", "term", "tf", "doc_len").collect())) == [
         (1, "a", 2, 3), (1, "b", 1, 3),
     ]
+
+
+def test_a_merge_leaves_dead_parts_unread(spark, tmp_path, monkeypatch):
+    """Three parts that the fourth replaces whole are dropped; only the fourth is read."""
+    index, reads = kept(spark, tmp_path), []
+    whole = index._read
+
+    def read(kind, entries):
+        reads.append((kind, [e["folder"] for e in entries if e["kind"] == kind]))
+        return whole(kind, entries)
+
+    monkeypatch.setattr(index, "_read", read)
+    for number in range(1, 5):
+        reads.clear()
+        index.add(batch(spark, [(i, "a b" if i else "", f"{number}", False) for i in range(6)]), number)
+    assert [p["origins"] for p in parts(index)] == [[1, 2, 3, 4]] and not parts(index, "dead")
+    read_parts = {f for kind, folders in reads if kind == "postings" for f in folders}
+    assert read_parts == {"postings/batch=4", parts(index)[0]["folder"]}
+    same(spark, index, {i: ("a b" if i else "", "4") for i in range(6)})
+
+
+@pytest.mark.parametrize("few", [0, 500_000])
+def test_a_merge_with_many_dead_sorts_no_postings_to_find_them(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr("lendmill.sources.search_index.FEW_DEAD", few)
+    index, live = kept(spark, tmp_path), {}
+    for number in range(1, 4):
+        docs = {i: (" ".join("abc"[: 1 + i % 3]), f"{number}") for i in range(number, number + 6)}
+        index.add(batch(spark, [(i, *d, False) for i, d in docs.items()]), number)
+        live |= docs
+    dead = index._read("dead", index.entries())
+    left = index._without(dead, parts(index))
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    assert ("BroadcastHashJoin" if few else "ShuffledHashJoin") in plan
+    assert left.select("id").distinct().count() == len(live) == left.select("id", "_origin").distinct().count()
+    more = {i: ("a b c a b c c c c a" if i == 20 else "a b c", "4") for i in range(20, 24)}
+    index.add(batch(spark, [(i, *d, False) for i, d in more.items()] + [(1, "b", "4", True)]), 4)
+    live |= more
+    del live[1]
+    assert len(parts(index)) == 1
+    same(spark, index, live)
